@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline this package re-expresses is batch only: every layer is a full refresh
+of its tables and nothing reads a stream, keeps state or uses a watermark.  No
+streaming operator is provided; the rollup specs would run unchanged on a streaming
+DataFrame with a watermark on the time column, but that is not part of the build.
+"""
