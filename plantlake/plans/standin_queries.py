@@ -3,6 +3,9 @@
 Each function takes ``(spark, data_dir)`` and returns a lazy DataFrame.  The plant specs
 run unchanged on plant-shaped projections of ``events`` (``sources.standins``); only the
 site parameters differ (battery devices and radiation JSON keys of the stand-in).
+
+Results are returned as relations, without the trailing sort of the stored tables: the
+layer jobs sort when they write (``ordered=True``), which is where the row order matters.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from plantlake.functions.jsoncols import JsonUnpack, unpack
 from plantlake.functions.rounding import stable_round_sql
 from plantlake.functions.timegrid import bucket_start, day_of, hour_start
-from plantlake.plans.layers import build_step, fused_daily_balance, gold_frames, silver_frames
+from plantlake.plans.layers import build_step, fused_daily_balance, silver_frames
 from plantlake.plans.plant import EMI_JSON_KEYS, Extract, Plant, plant_specs
 from plantlake.sources.catalog import register_view
 from plantlake.sources.standins import STANDIN_BATTERY_DEVICES, STANDIN_EMI_KEYS, standin_bronze
@@ -63,14 +66,14 @@ def json_unpack(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def silver(table: str) -> Query:
     def q(spark: SparkSession, data_dir: str) -> DataFrame:
-        return build_step(PLANT.silver_step(table), bronze(spark, data_dir), ordered=True)
+        return build_step(PLANT.silver_step(table), bronze(spark, data_dir))
 
     q.__name__ = f"silver_{table}"
     return q
 
 
 def explore_pcs(spark: SparkSession, data_dir: str) -> DataFrame:
-    return build_step(PLANT.exploratory_step("pcs"), bronze(spark, data_dir), ordered=True)
+    return build_step(PLANT.exploratory_step("pcs"), bronze(spark, data_dir))
 
 
 # --- gold (D1-D5) and the joined table (E1-E4) -----------------------------------------------
@@ -79,7 +82,7 @@ def gold(table: str) -> Query:
     def q(spark: SparkSession, data_dir: str) -> DataFrame:
         step = PLANT.gold_step(table)
         silver_in = silver_frames(PLANT, bronze(spark, data_dir), only=[step.source])
-        return build_step(step, silver_in, ordered=True)
+        return build_step(step, silver_in)
 
     q.__name__ = f"gold_{table}"
     return q
@@ -89,10 +92,6 @@ def daily_balance(spark: SparkSession, data_dir: str) -> DataFrame:
     return fused_daily_balance(PLANT, bronze(spark, data_dir))
 
 
-def gold_all(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
-    return gold_frames(PLANT, silver_frames(PLANT, bronze(spark, data_dir)))
-
-
 # --- bronze extracts (B1-B10): equality predicates pushed to the scan -------------------------
 
 def bronze_extract(table: str, where: str | None) -> Query:

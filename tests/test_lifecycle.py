@@ -88,3 +88,13 @@ def test_drop_silver_and_gold_together(spark):
 
 def test_preview_is_a_limit(spark):
     assert jobs.preview(spark.range(100), 20).count() == 20
+
+
+def test_cli_drop_job(spark, capsys):
+    from plantlake.__main__ import main
+
+    ensure_layer(spark, None, "t_cli")
+    replace_table(spark.range(1), None, "t_cli", "one")
+    assert main(["drop", "t_cli"], spark=spark) == 0
+    assert "t_cli: ['one']" in capsys.readouterr().out
+    assert not layer_exists(spark, None, "t_cli")
