@@ -1,4 +1,4 @@
-"""Reference SQL for every query key, written for DuckDB over the driver's tables.
+"""Oracle SQL for every query key, written for DuckDB over the driver's tables.
 
 Written independently of the Spark specs, in the shape of the original SQL: the
 ``date_trunc + interval * floor(minute / 15)`` bucket, ``round(avg)``, ``round(max - min)``,

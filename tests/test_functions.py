@@ -53,7 +53,7 @@ def test_bucket_before_1970_and_hour(spark):
     assert r.d == dt.date(1969, 12, 31)
 
 
-def test_bucket_keeps_zoned_type_and_matches_reference_form_across_dst(spark):
+def test_bucket_keeps_zoned_type_and_matches_sql_form_across_dst(spark):
     # Zoned timestamps around both 2024 clock changes in Madrid; compare with the SQL form
     # date_trunc('hour', ts) + interval 15 minutes * floor(minute / 15).
     spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")

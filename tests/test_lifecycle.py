@@ -70,7 +70,7 @@ def test_materialised_pipeline_equals_fused(spark, materialised):
     assert stored.count() > 0
 
 
-def test_materialised_silver_is_sorted_like_the_reference(spark, materialised):
+def test_materialised_silver_is_stored_in_key_order(spark, materialised):
     silver = spark.table(qualified(None, "t_silver", "inversor"))
     rows = [(r.time_interval, r.equipo) for r in silver.collect()]
     assert rows == sorted(rows)

@@ -8,15 +8,15 @@ from plantlake.sources.standins import STANDINS, string_currents_json
 
 def test_jdbc_options_from_env_keep_user_and_password_apart():
     env = {
-        "PLANTLAKE_JDBC_URL": "jdbc:postgresql://db:5432/monitoring",
+        "PLANTLAKE_JDBC_URL": "jdbc:example://db:5432/monitoring",
         "PLANTLAKE_JDBC_USER": "reader",
         "PLANTLAKE_JDBC_PASSWORD": "secret",
-        "PLANTLAKE_JDBC_DRIVER": "org.postgresql.Driver",
+        "PLANTLAKE_JDBC_DRIVER": "org.example.Driver",
     }
     src = JdbcSource.from_env(env, fetch_size=500)
     opts = src.connection_options()
     assert opts["user"] == "reader" and opts["password"] == "secret"
-    assert opts["driver"] == "org.postgresql.Driver"
+    assert opts["driver"] == "org.example.Driver"
     assert opts["fetchsize"] == "500"
 
 
