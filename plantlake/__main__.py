@@ -4,9 +4,13 @@
     python -m plantlake silver
     python -m plantlake gold
     python -m plantlake joined
+    python -m plantlake all               # the four jobs above in one process
+    python -m plantlake explore           # preview the exploratory rollups (nothing stored)
     python -m plantlake drop silver gold  # empty and drop layers
 
-The catalog comes from ``PLANTLAKE_CATALOG`` (session catalog when unset).  Site
+The catalog comes from ``PLANTLAKE_CATALOG`` (session catalog when unset).  Jobs run as
+separate processes need a persistent catalog; a plain local session keeps its catalog in
+memory, so there use ``all``.  Site
 parameters: ``--site``, ``--meter``, ``--town``, ``--battery-devices``.
 """
 
@@ -31,7 +35,7 @@ from plantlake.session import build_session, lake_catalog
 def main(argv: list[str] | None = None, spark=None) -> int:
     """Run one job; a given ``spark`` session is used and left running."""
     p = argparse.ArgumentParser(prog="plantlake")
-    p.add_argument("job", choices=["bronze", "silver", "gold", "joined", "drop"])
+    p.add_argument("job", choices=["bronze", "silver", "gold", "joined", "all", "explore", "drop"])
     p.add_argument("layers", nargs="*", default=[SILVER, GOLD], help="layers for 'drop'")
     p.add_argument("--site", type=int, default=DEFAULT_SITE)
     p.add_argument("--meter", type=int, default=DEFAULT_METER)
@@ -52,17 +56,25 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     spark = spark or build_session()
     catalog = lake_catalog()
     try:
-        if args.job == "bronze":
+        if args.job in ("bronze", "all"):
             from plantlake.sources.jdbc import JdbcSource, source_reader
 
             reader = source_reader(spark, JdbcSource.from_env(), args.source_schema)
-            done = jobs.run_bronze(spark, plant, reader, catalog, BRONZE)
+            if args.job == "all":
+                done = [jobs.run_all(spark, plant, reader, catalog)]
+            else:
+                done = jobs.run_bronze(spark, plant, reader, catalog, BRONZE)
         elif args.job == "silver":
             done = jobs.run_silver(spark, plant, catalog)
         elif args.job == "gold":
             done = jobs.run_gold(spark, plant, catalog)
         elif args.job == "joined":
             done = [jobs.run_joined(spark, plant, catalog)]
+        elif args.job == "explore":
+            done = []
+            for name, df in jobs.explore(spark, plant, catalog).items():
+                print(name)
+                df.show(truncate=False)
         else:
             done = [f"{layer}: {tables}" for layer, tables in jobs.drop_layers(spark, catalog, *args.layers).items()]
         for line in done:

@@ -80,6 +80,15 @@ def run_all(
     return run_joined(spark, plant, catalog, gold)
 
 
+def explore(
+    spark: SparkSession, plant: Plant, catalog: str | None = None, source_layer: str = BRONZE, n: int = 20
+) -> dict[str, DataFrame]:
+    """The exploratory rollups (pcs with charge/discharge names, racks), ordered, as previews; nothing is stored."""
+    steps = [*plant.exploratory, plant.silver_step("rack")]
+    inputs = _layer_inputs(spark, catalog, source_layer, {s.source for s in steps})
+    return {s.table: preview(build_step(s, inputs, ordered=True), n) for s in steps}
+
+
 def drop_layers(spark: SparkSession, catalog: str | None, *layers: str) -> dict[str, list[str]]:
     """Empty and drop each layer (silver and gold together, or one of them)."""
     return {layer: drop_layer(spark, catalog, layer) for layer in layers}

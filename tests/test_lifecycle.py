@@ -98,3 +98,12 @@ def test_cli_drop_job(spark, capsys):
     assert main(["drop", "t_cli"], spark=spark) == 0
     assert "t_cli: ['one']" in capsys.readouterr().out
     assert not layer_exists(spark, None, "t_cli")
+
+
+def test_explore_previews(spark, materialised):
+    previews = jobs.explore(spark, q.PLANT, None, "t_bronze", n=5)
+    assert set(previews) == {"pcs", "rack"}
+    pcs = previews["pcs"]
+    assert pcs.columns == ["time_interval", "equipo", "pa", "ea_carga", "ea_descarga"]
+    rows = [(r.time_interval, r.equipo) for r in pcs.collect()]
+    assert len(rows) == 5 and rows == sorted(rows)
