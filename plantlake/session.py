@@ -16,8 +16,12 @@ import os
 from pyspark.sql import SparkSession
 
 # Defaults chosen for large inputs; every one can be overridden by the cluster's conf.
+# Broadcasts are decided only from sizes measured at runtime (AQE), never from the static
+# estimate, which is derived from compressed file sizes and bounds nothing.
 SCALE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
