@@ -68,3 +68,61 @@ def test_string_currents_round_trip(spark):
     back = unpack(df.withColumn("id", df.j), JsonUnpack("j", keys), keep=["id"]).collect()
     for row, v in zip(back, (6.55, 19.17)):
         assert [row[k] for k in keys] == [v * i for i in range(1, 21)]
+
+
+class _FakeReader:
+    """Stands in for ``spark.read.format('jdbc')``: records options, loads a local DataFrame."""
+
+    def __init__(self, spark, rows, schema):
+        self.spark, self.rows, self.schema, self.opts = spark, rows, schema, {}
+
+    def option(self, key, value):
+        self.opts[key] = value
+        return self
+
+    def options(self, **kw):
+        self.opts.update(kw)
+        return self
+
+    def load(self):
+        if "query" in self.opts:  # the bounds query
+            return self.spark.createDataFrame([(1, 9)], "lo int, hi int")
+        return self.spark.createDataFrame(self.rows, self.schema)
+
+
+def test_jdbc_read_table_partitions_and_filters(spark, monkeypatch):
+    from plantlake.sources import jdbc
+
+    made = []
+
+    def fake(spark_, source):
+        r = _FakeReader(spark_, [(11, 42, 1.0), (11, 7, 2.0), (12, 42, 3.0)], "instalacion int, equipo int, pa double")
+        r.opts.update(source.connection_options())
+        made.append(r)
+        return r
+
+    monkeypatch.setattr(jdbc, "_reader", fake)
+    src = JdbcSource("jdbc:x", user="u", password="p", partition_column="id", num_partitions=4)
+    df = jdbc.read_table(spark, src, "public.aarr", "instalacion = 11 AND equipo = 42")
+    assert [tuple(r) for r in df.collect()] == [(11, 42, 1.0)]
+    table, bounds = made
+    assert bounds.opts["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM public.aarr WHERE instalacion = 11 AND equipo = 42"
+    assert table.opts["dbtable"] == "public.aarr"
+    assert (table.opts["partitionColumn"], table.opts["lowerBound"], table.opts["upperBound"]) == ("id", "1", "9")
+    assert table.opts["numPartitions"] == "4" and table.opts["user"] == "u"
+
+
+def test_jdbc_source_reader_for_bronze_jobs(spark, monkeypatch):
+    from plantlake.sources import jdbc
+
+    seen = []
+
+    def fake(spark_, source):
+        r = _FakeReader(spark_, [(1,)], "x int")
+        seen.append(r)
+        return r
+
+    monkeypatch.setattr(jdbc, "_reader", fake)
+    read = jdbc.source_reader(spark, JdbcSource("jdbc:x"), "public")
+    assert read("inversor").count() == 1
+    assert seen[0].opts["dbtable"] == "public.inversor" and "partitionColumn" not in seen[0].opts
