@@ -133,6 +133,19 @@ JOIN g_prediccion_meteo ON g_prediccion_meteo.fecha = g_aarr.fecha
 """
 
 
+LINEITEM_CTE = (
+    "SELECT l_shipdate AS fecha, l_linenumber AS equipo, l_extendedprice AS pa, l_quantity AS ea_import, "
+    "l_discount AS ea_export FROM lineitem"
+)
+
+
+def lineitem_sql(table: str, gold: bool = False) -> str:
+    silver = SILVER_SELECTS[table].replace(f"FROM b_{table} ", "FROM b_lineitem ")
+    if not gold:
+        return f"WITH b_lineitem AS ({LINEITEM_CTE})\n{silver}"
+    return f"WITH b_lineitem AS ({LINEITEM_CTE}),\ns_{table} AS ({silver})\n{GOLD_SELECTS[table]}"
+
+
 def oracle_queries() -> dict[str, str]:
     q = {
         "time_grid": "SELECT event_id, "
@@ -158,6 +171,8 @@ def oracle_queries() -> dict[str, str]:
         "gold_battery": gold_sql("bateria"),
         "gold_forecast": gold_sql("prediccion_meteo"),
         "daily_balance": daily_balance_sql(),
+        "silver_pcs_lineitem": lineitem_sql("pcs"),
+        "gold_meter_lineitem": lineitem_sql("aarr", gold=True),
         "view_sql": silver_sql("aarr"),
         "bronze_extract_and": "SELECT * FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'",
         "bronze_extract_eq": "SELECT * FROM lineitem WHERE l_linenumber = 1",

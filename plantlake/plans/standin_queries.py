@@ -21,7 +21,12 @@ from plantlake.functions.timegrid import bucket_start, day_of, hour_start
 from plantlake.plans.layers import build_step, fused_daily_balance, silver_frames
 from plantlake.plans.plant import EMI_JSON_KEYS, Extract, Plant, plant_specs
 from plantlake.sources.catalog import register_view
-from plantlake.sources.standins import STANDIN_BATTERY_DEVICES, STANDIN_EMI_KEYS, standin_bronze
+from plantlake.sources.standins import (
+    STANDIN_BATTERY_DEVICES,
+    STANDIN_EMI_KEYS,
+    lineitem_bronze,
+    standin_bronze,
+)
 from plantlake.sources.tables import extract, read_parquet_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +93,18 @@ def gold(table: str) -> Query:
     return q
 
 
+# --- the same specs on the larger lineitem table ----------------------------------------------
+
+def silver_pcs_lineitem(spark: SparkSession, data_dir: str) -> DataFrame:
+    bronze_in = lineitem_bronze(read_parquet_table(spark, data_dir, "lineitem"))
+    return build_step(PLANT.silver_step("pcs"), bronze_in)
+
+
+def gold_meter_lineitem(spark: SparkSession, data_dir: str) -> DataFrame:
+    bronze_in = lineitem_bronze(read_parquet_table(spark, data_dir, "lineitem"))
+    return build_step(PLANT.gold_step("aarr"), silver_frames(PLANT, bronze_in, only=["aarr"]))
+
+
 def daily_balance(spark: SparkSession, data_dir: str) -> DataFrame:
     return fused_daily_balance(PLANT, bronze(spark, data_dir))
 

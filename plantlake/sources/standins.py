@@ -145,3 +145,19 @@ STANDINS: dict[str, Callable[[DataFrame], DataFrame]] = {
 def standin_bronze(events: DataFrame) -> dict[str, DataFrame]:
     """All nine plant bronze tables as lazy projections of ``events``."""
     return {name: make(events) for name, make in STANDINS.items()}
+
+
+def lineitem_bronze(lineitem: DataFrame) -> dict[str, DataFrame]:
+    """Meter and battery-converter shapes from ``lineitem``: six times the rows of ``events``.
+
+    ``l_shipdate``->fecha (whole days), ``l_linenumber``->equipo, ``l_extendedprice``->pa,
+    ``l_quantity``->ea_import, ``l_discount``->ea_export.
+    """
+    shaped = lineitem.select(
+        F.col("l_shipdate").alias("fecha"),
+        F.col("l_linenumber").alias("equipo"),
+        F.col("l_extendedprice").alias("pa"),
+        F.col("l_quantity").alias("ea_import"),
+        F.col("l_discount").alias("ea_export"),
+    )
+    return {"aarr": shaped, "pcs": shaped}
