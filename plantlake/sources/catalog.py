@@ -2,12 +2,16 @@
 
 A v2 catalog (``spark.sql.catalog.<name>`` set, e.g. a lakehouse table format) gets an
 atomic ``writeTo(...).createOrReplace()``.  The built-in session catalog has no
-replace-as-select, so there the refresh is ``mode("overwrite").saveAsTable``, which
-replaces data and schema but is not atomic.  A job never reads its own target.
+replace-as-select, so there the new rows are first written in full to a staging table
+with a unique name, and only then swapped in (drop the old table, rename the staging
+one).  A job that fails while writing leaves the previous table untouched; only the
+short swap is not atomic.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CATALOG = "spark_catalog"
@@ -46,14 +50,21 @@ def layer_tables(spark: SparkSession, catalog: str | None, layer: str) -> list[s
     return sorted(r["tableName"] for r in rows if not r["isTemporary"])
 
 
+STAGING_MARK = "__staging_"
+
+
 def replace_table(df: DataFrame, catalog: str | None, layer: str, table: str) -> str:
     """Full refresh of ``<catalog>.<layer>.<table>``: new data and new schema."""
     name = qualified(catalog, layer, table)
     spark = df.sparkSession
     if is_v2_catalog(spark, catalog):
         df.writeTo(name).createOrReplace()
-    else:
-        df.write.mode("overwrite").saveAsTable(name)
+        return name
+    staging = qualified(catalog, layer, f"{table}{STAGING_MARK}{uuid.uuid4().hex[:12]}")
+    df.write.mode("errorifexists").saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # the session catalog takes the new name as <database>.<table>
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {qualified(layer, table)}")
     return name
 
 

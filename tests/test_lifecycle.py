@@ -107,3 +107,16 @@ def test_explore_previews(spark, materialised):
     assert pcs.columns == ["time_interval", "equipo", "pa", "ea_carga", "ea_descarga"]
     rows = [(r.time_interval, r.equipo) for r in pcs.collect()]
     assert len(rows) == 5 and rows == sorted(rows)
+
+
+def test_failed_refresh_keeps_the_previous_table(spark):
+    from pyspark.sql import functions as F
+
+    ensure_layer(spark, None, "t_fail")
+    replace_table(spark.createDataFrame([(1,)], "x int"), None, "t_fail", "t")
+    bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).alias("y"))
+    with pytest.raises(Exception):
+        replace_table(bad, None, "t_fail", "t")
+    assert [r.x for r in spark.table(qualified(None, "t_fail", "t")).collect()] == [1]
+    drop_layer(spark, None, "t_fail")
+    assert not layer_exists(spark, None, "t_fail")
