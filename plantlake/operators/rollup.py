@@ -14,8 +14,7 @@ a range shuffle, worth paying only when the result is written and later read by
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,24 +93,17 @@ class Chain:
     """Rollups applied one after another (a rollup of a rollup, e.g. hour means summed per day)."""
 
     name: str
-    steps: tuple[Rollup, ...] = field(default_factory=tuple)
-
-    def build(self, df: DataFrame, ordered: bool = False) -> DataFrame:
-        last = len(self.steps) - 1
-        return reduce(
-            lambda acc, item: item[1].build(acc, ordered=ordered and item[0] == last),
-            enumerate(self.steps),
-            df,
-        )
-
-
-def keys_of(spec: Rollup | Chain) -> list[str]:
-    last = spec.steps[-1] if isinstance(spec, Chain) else spec
-    return [last.key, *last.by]
+    steps: tuple[Rollup, ...]
 
+    def __post_init__(self) -> None:
+        if not self.steps:
+            raise ValueError(f"chain {self.name} has no steps")
 
-def order_by_keys(df: DataFrame, spec: Rollup | Chain) -> DataFrame:
-    return df.orderBy(*keys_of(spec))
+    def build(self, df: DataFrame, ordered: bool = False) -> DataFrame:
+        *inner, last = self.steps
+        for step in inner:
+            df = step.build(df)
+        return last.build(df, ordered=ordered)
 
 
 def select_renamed(df: DataFrame, columns: Sequence[str | tuple[str, str]]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Reading tables: catalog tables by name, or parquet files by directory."""
+"""Reading parquet tables by directory, and the extract predicate."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table (``catalog.layer.table`` or ``layer.table``)."""
-    return spark.table(name)
-
-
 def read_parquet_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """``<data_dir>/<name>.parquet`` (a file or a directory of part files)."""
     return spark.read.parquet(os.path.join(data_dir, f"{name}.parquet"))

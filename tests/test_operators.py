@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from conftest import SF_SMALL
 from plantlake.functions.measures import avg, delta, high, low, mean, total
 from plantlake.operators.daily_join import DaySide, day_join, energy_balance, join_on_day
-from plantlake.operators.rollup import Chain, Rollup, keys_of, sql_in, sql_literal
+from plantlake.operators.rollup import Chain, Rollup, sql_in, sql_literal
 from plantlake.plans import standin_queries as q
 
 D = dt.datetime
@@ -67,7 +67,8 @@ def test_hourly_grain_and_daily_chain(spark):
     out = Chain("emi", (hourly, daily)).build(_readings(spark, rows), ordered=True)
     assert out.columns == ["fecha", "pa"]
     assert [tuple(r) for r in out.collect()] == [(dt.date(2024, 1, 1), 12.0), (dt.date(2024, 1, 2), 7.0)]
-    assert keys_of(Chain("emi", (hourly, daily))) == ["fecha"]
+    with pytest.raises(ValueError):
+        Chain("empty", ())
 
 
 def test_daily_extremes(spark):
