@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--battery-devices", type=int, nargs="+", default=list(DEFAULT_BATTERY_DEVICES))
     p.add_argument("--source-schema", default="public", help="schema of the source tables (bronze)")
     p.add_argument("--market-prices", action="store_true", help="also extract the market price table")
+    p.add_argument("--jdbc-partitions", type=int, default=8, help="parallel range reads per extracted table")
     args = p.parse_args(argv)
 
     plant = plant_specs(
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if args.job in ("bronze", "all"):
             from plantlake.sources.jdbc import JdbcSource, source_reader
 
-            reader = source_reader(spark, JdbcSource.from_env(), args.source_schema)
+            source = JdbcSource.from_env(num_partitions=args.jdbc_partitions)
+            reader = source_reader(spark, source, args.source_schema)
             if args.job == "all":
                 done = [jobs.run_all(spark, plant, reader, catalog)]
             else:

@@ -12,9 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plantlake.plans.layers import build_step, joined_frame
-from plantlake.plans.plant import BRONZE, GOLD, JOINED_TABLE, SILVER, Plant
+from plantlake.plans.plant import BRONZE, GOLD, JOINED_TABLE, SILVER, Extract, Plant
 from plantlake.sources.catalog import drop_layer, ensure_layer, qualified, replace_table
-from plantlake.sources.tables import extract
 
 
 def _layer_inputs(spark: SparkSession, catalog: str | None, layer: str, names: set[str]) -> dict[str, DataFrame]:
@@ -24,13 +23,17 @@ def _layer_inputs(spark: SparkSession, catalog: str | None, layer: str, names: s
 def run_bronze(
     spark: SparkSession,
     plant: Plant,
-    read_source: Callable[[str], DataFrame],
+    read_source: Callable[[Extract], DataFrame],
     catalog: str | None = None,
     layer: str = BRONZE,
 ) -> list[str]:
-    """Extract each source table (predicate evaluated by the source) into the bronze layer."""
+    """Extract each source table into the bronze layer.
+
+    ``read_source(extract)`` returns the rows of ``extract.source`` matching ``extract.where``;
+    the JDBC reader (``sources.jdbc.source_reader``) has the database evaluate the predicate.
+    """
     ensure_layer(spark, catalog, layer)
-    return [replace_table(extract(read_source(x.source), x.where), catalog, layer, x.table) for x in plant.bronze]
+    return [replace_table(read_source(x), catalog, layer, x.table) for x in plant.bronze]
 
 
 def run_silver(
@@ -69,7 +72,7 @@ def run_joined(
 def run_all(
     spark: SparkSession,
     plant: Plant,
-    read_source: Callable[[str], DataFrame],
+    read_source: Callable[[Extract], DataFrame],
     catalog: str | None = None,
     layers: tuple[str, str, str] = (BRONZE, SILVER, GOLD),
 ) -> str:

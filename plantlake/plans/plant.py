@@ -45,11 +45,16 @@ def string_keys(n: int = STRING_COUNT) -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class Extract:
-    """A bronze extract: every column of ``source`` rows matching ``where`` (SQL, pushed to the source)."""
+    """A bronze extract: every column of ``source`` rows matching ``where`` (SQL, pushed to the source).
+
+    ``split_by`` is the column a parallel read splits into ranges (the reading time), so each
+    bronze file also covers one time range and later rollups aggregate it compactly.
+    """
 
     table: str
     source: str
     where: str | None
+    split_by: str | None = "fecha"
 
 
 @dataclass(frozen=True)
@@ -118,7 +123,7 @@ def plant_specs(
         Extract("prediccion_meteo", "prediccion_meteo", f"localidad = '{town}'"),
     ]
     if with_market_prices:
-        bronze.append(Extract("omie", "omie", None))
+        bronze.append(Extract("omie", "omie", None, split_by=None))
 
     dev = ("equipo",)
     silver = (

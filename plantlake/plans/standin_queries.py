@@ -35,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def standin_plant() -> Plant:
     """The plant specs with the stand-in's devices and JSON keys; bronze extracts take every row."""
     plant = plant_specs(battery_devices=STANDIN_BATTERY_DEVICES, emi_keys=STANDIN_EMI_KEYS)
-    bronze = tuple(Extract(x.table, x.source, None) for x in plant.bronze)
+    bronze = tuple(Extract(x.table, x.source, None, x.split_by) for x in plant.bronze)
     return Plant(bronze, plant.silver, plant.gold, plant.joined_sides, plant.exploratory)
 
 

@@ -18,7 +18,7 @@ Connection values come from the environment, never from code:
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,9 +98,15 @@ def read_table(spark: SparkSession, source: JdbcSource, table: str, where: str |
 
 
 def source_reader(spark: SparkSession, source: JdbcSource, schema: str | None = None):
-    """``read_source`` callable for ``jobs.run_bronze``: table name -> DataFrame."""
+    """``read_source`` callable for ``jobs.run_bronze``: an extract spec -> its rows.
 
-    def read(name: str) -> DataFrame:
-        return read_table(spark, source, f"{schema}.{name}" if schema else name)
+    With ``source.num_partitions > 1`` each table is read as that many range queries on the
+    extract's ``split_by`` column (bounds from the rows the predicate keeps); an extract
+    without a split column is read in one query.
+    """
+
+    def read(x) -> DataFrame:
+        src = replace(source, partition_column=x.split_by) if x.split_by else replace(source, num_partitions=1)
+        return read_table(spark, src, f"{schema}.{x.source}" if schema else x.source, x.where)
 
     return read

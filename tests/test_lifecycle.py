@@ -5,6 +5,7 @@ import pytest
 from conftest import SF_SMALL
 from plantlake.plans import jobs
 from plantlake.plans import standin_queries as q
+from plantlake.sources.tables import extract
 from plantlake.sources.catalog import (
     drop_layer,
     ensure_layer,
@@ -54,7 +55,7 @@ def test_qualified_quotes_names():
 def materialised(spark):
     layers = ("t_bronze", "t_silver", "t_gold")
     bronze = q.bronze(spark, SF_SMALL)
-    name = jobs.run_all(spark, q.PLANT, lambda t: bronze[t], None, layers)
+    name = jobs.run_all(spark, q.PLANT, lambda x: extract(bronze[x.source], x.where), None, layers)
     yield name, layers
     jobs.drop_layers(spark, None, *layers)
 

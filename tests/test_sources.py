@@ -118,11 +118,20 @@ def test_jdbc_source_reader_for_bronze_jobs(spark, monkeypatch):
     seen = []
 
     def fake(spark_, source):
-        r = _FakeReader(spark_, [(1,)], "x int")
+        r = _FakeReader(spark_, [(1,)], "instalacion int")
         seen.append(r)
         return r
 
     monkeypatch.setattr(jdbc, "_reader", fake)
-    read = jdbc.source_reader(spark, JdbcSource("jdbc:x"), "public")
-    assert read("inversor").count() == 1
-    assert seen[0].opts["dbtable"] == "public.inversor" and "partitionColumn" not in seen[0].opts
+    plant = plant_specs(with_market_prices=True)
+    src = JdbcSource("jdbc:x", num_partitions=8)
+    read = jdbc.source_reader(spark, src, "public")
+    inversor = next(x for x in plant.bronze if x.table == "inversor")
+    assert read(inversor).count() == 0  # the fake rows have no site 11
+    table, bounds = seen
+    assert table.opts["dbtable"] == "public.inversor" and table.opts["partitionColumn"] == "fecha"
+    assert bounds.opts["query"].endswith("FROM public.inversor WHERE instalacion = 11")
+    seen.clear()
+    omie = next(x for x in plant.bronze if x.table == "omie")
+    assert read(omie).count() == 1
+    assert len(seen) == 1 and "partitionColumn" not in seen[0].opts
