@@ -155,3 +155,9 @@ def test_day_total_equals_sum_of_buckets(spark):
     diff = gold.join(by_day, "fecha").where(F.abs(F.col("ea_import") - F.col("s")) > 1e-6)
     assert diff.count() == 0
     assert gold.count() == by_day.count()
+
+
+def test_ordered_rollup_puts_the_null_bucket_first(spark):
+    rows = [(D(2024, 1, 1, 10, 1), 98, 1.0, 0.0), (None, 98, 2.0, 0.0), (D(2024, 1, 1, 9, 59), 98, 3.0, 0.0)]
+    out = Rollup("x", (mean("pa"),), by=("equipo",)).build(_readings(spark, rows), ordered=True)
+    assert [r.time_interval for r in out.collect()] == [None, D(2024, 1, 1, 9, 45), D(2024, 1, 1, 10, 0)]
