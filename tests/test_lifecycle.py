@@ -1,8 +1,11 @@
 """Sinks and table lifecycle on the session catalog; the materialised pipeline equals the fused one."""
 
+import re
+
 import pytest
 
 from conftest import SF_SMALL
+from test_plans import plan_text
 from plantlake.plans import jobs
 from plantlake.plans import standin_queries as q
 from plantlake.sources.tables import extract
@@ -121,3 +124,15 @@ def test_failed_refresh_keeps_the_previous_table(spark):
     assert [r.x for r in spark.table(qualified(None, "t_fail", "t")).collect()] == [1]
     drop_layer(spark, None, "t_fail")
     assert not layer_exists(spark, None, "t_fail")
+
+
+def test_bronze_rows_are_sorted_by_time_within_each_task(spark):
+    from plantlake.plans.plant import Extract
+
+    bronze = q.bronze(spark, SF_SMALL)
+    read = lambda x: extract(bronze[x.source], x.where)
+    plan = plan_text(jobs.bronze_frame(Extract("aarr", "aarr", None), read))
+    assert re.search(r"Arguments: \[fecha#\d+ ASC NULLS FIRST\], false", plan)
+    assert "Exchange" not in plan
+    unsplit = plan_text(jobs.bronze_frame(Extract("omie", "aarr", None, split_by=None), read))
+    assert "Sort" not in unsplit
