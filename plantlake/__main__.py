@@ -32,6 +32,10 @@ from plantlake.plans.plant import (
 from plantlake.session import build_session, lake_catalog
 
 
+def _device(text: str) -> int | str:
+    return int(text) if text.lstrip("-").isdigit() else text
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     """Run one job; a given ``spark`` session is used and left running."""
     p = argparse.ArgumentParser(prog="plantlake")
@@ -40,7 +44,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--site", type=int, default=DEFAULT_SITE)
     p.add_argument("--meter", type=int, default=DEFAULT_METER)
     p.add_argument("--town", default=DEFAULT_TOWN)
-    p.add_argument("--battery-devices", type=int, nargs="+", default=list(DEFAULT_BATTERY_DEVICES))
+    p.add_argument(
+        "--battery-devices", type=_device, nargs="+", default=list(DEFAULT_BATTERY_DEVICES), help="device ids or names"
+    )
     p.add_argument("--source-schema", default="public", help="schema of the source tables (bronze)")
     p.add_argument("--market-prices", action="store_true", help="also extract the market price table")
     p.add_argument("--jdbc-partitions", type=int, default=8, help="parallel range reads per extracted table")

@@ -136,3 +136,21 @@ def test_bronze_rows_are_sorted_by_time_within_each_task(spark):
     assert "Exchange" not in plan
     unsplit = plan_text(jobs.bronze_frame(Extract("omie", "aarr", None, split_by=None), read))
     assert "Sort" not in unsplit
+
+
+def test_cli_layer_jobs_in_one_session(spark, capsys):
+    from plantlake.__main__ import main
+    from plantlake.plans.plant import BRONZE, GOLD, SILVER
+
+    bronze = q.bronze(spark, SF_SMALL)
+    jobs.run_bronze(spark, q.PLANT, lambda x: extract(bronze[x.source], x.where), None, BRONZE)
+    args = ["--battery-devices", "click", "view"]
+    for job in ("silver", "gold", "joined", "explore"):
+        assert main([job, *args], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "`gold`.`conjunto`" in out and "rack" in out
+    assert set(layer_tables(spark, None, SILVER)) == {s.table for s in q.PLANT.silver}
+    joined = spark.table(qualified(None, GOLD, "conjunto"))
+    assert joined.count() == q.daily_balance(spark, SF_SMALL).count()
+    assert main(["drop", BRONZE, SILVER, GOLD], spark=spark) == 0
+    assert not any(layer_exists(spark, None, x) for x in (BRONZE, SILVER, GOLD))
