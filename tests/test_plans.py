@@ -85,3 +85,19 @@ def test_flagship_joins_need_no_extra_exchange_and_broadcast_only_when_measured(
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_no_global_sort_in_registered_queries(plans):
+    # Only the SQL-text query keeps its ORDER BY; the stored tables are sorted by the layer jobs.
+    for key, text in plans.items():
+        has_range_sort = "rangepartitioning" in text.lower()
+        assert has_range_sort == (key == "view_sql"), key
+
+
+def test_scans_read_only_needed_columns(plans):
+    # events has 6 columns and lineitem 11; no rollup needs more than 5 of them.
+    for key, text in plans.items():
+        if key.startswith("bronze_extract"):
+            continue  # SELECT * by definition
+        for schema in re.findall(r"ReadSchema: struct<([^>]*)>", text):
+            assert schema.count(":") <= 5, (key, schema)
