@@ -50,6 +50,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--source-schema", default="public", help="schema of the source tables (bronze)")
     p.add_argument("--market-prices", action="store_true", help="also extract the market price table")
     p.add_argument("--jdbc-partitions", type=int, default=8, help="parallel range reads per extracted table")
+    p.add_argument("--parallel", type=int, default=1, help="tables of a layer refreshed at the same time")
     args = p.parse_args(argv)
 
     plant = plant_specs(
@@ -69,13 +70,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             source = JdbcSource.from_env(num_partitions=args.jdbc_partitions)
             reader = source_reader(spark, source, args.source_schema)
             if args.job == "all":
-                done = [jobs.run_all(spark, plant, reader, catalog)]
+                done = [jobs.run_all(spark, plant, reader, catalog, parallel=args.parallel)]
             else:
-                done = jobs.run_bronze(spark, plant, reader, catalog, BRONZE)
+                done = jobs.run_bronze(spark, plant, reader, catalog, BRONZE, parallel=args.parallel)
         elif args.job == "silver":
-            done = jobs.run_silver(spark, plant, catalog)
+            done = jobs.run_silver(spark, plant, catalog, parallel=args.parallel)
         elif args.job == "gold":
-            done = jobs.run_gold(spark, plant, catalog)
+            done = jobs.run_gold(spark, plant, catalog, parallel=args.parallel)
         elif args.job == "joined":
             done = [jobs.run_joined(spark, plant, catalog)]
         elif args.job == "explore":

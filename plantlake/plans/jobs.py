@@ -8,6 +8,7 @@ so a lost executor costs at most the stage being computed, never the whole chain
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,18 @@ from plantlake.plans.plant import BRONZE, GOLD, JOINED_TABLE, SILVER, Extract, P
 from plantlake.sources.catalog import drop_layer, ensure_layer, qualified, replace_table
 
 
+def _refresh(writes: list[Callable[[], str]], parallel: int) -> list[str]:
+    """Run the table refreshes of one layer, ``parallel`` Spark jobs at a time.
+
+    The refreshes are independent, so with ``parallel > 1`` they are submitted from a few
+    driver threads and share the executors: a small table no longer waits for a big one.
+    """
+    if parallel <= 1:
+        return [w() for w in writes]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return list(pool.map(lambda w: w(), writes))
+
+
 def _layer_inputs(spark: SparkSession, catalog: str | None, layer: str, names: set[str]) -> dict[str, DataFrame]:
     return {n: spark.table(qualified(catalog, layer, n)) for n in sorted(names)}
 
@@ -26,6 +39,7 @@ def run_bronze(
     read_source: Callable[[Extract], DataFrame],
     catalog: str | None = None,
     layer: str = BRONZE,
+    parallel: int = 1,
 ) -> list[str]:
     """Extract each source table into the bronze layer.
 
@@ -33,7 +47,10 @@ def run_bronze(
     the JDBC reader (``sources.jdbc.source_reader``) has the database evaluate the predicate.
     """
     ensure_layer(spark, catalog, layer)
-    return [replace_table(bronze_frame(x, read_source), catalog, layer, x.table) for x in plant.bronze]
+    writes = [
+        lambda x=x: replace_table(bronze_frame(x, read_source), catalog, layer, x.table) for x in plant.bronze
+    ]
+    return _refresh(writes, parallel)
 
 
 def bronze_frame(x: Extract, read_source: Callable[[Extract], DataFrame]) -> DataFrame:
@@ -54,10 +71,14 @@ def run_silver(
     source_layer: str = BRONZE,
     layer: str = SILVER,
     ordered: bool = True,
+    parallel: int = 1,
 ) -> list[str]:
     ensure_layer(spark, catalog, layer)
     inputs = _layer_inputs(spark, catalog, source_layer, {s.source for s in plant.silver})
-    return [replace_table(build_step(s, inputs, ordered), catalog, layer, s.table) for s in plant.silver]
+    writes = [
+        lambda s=s: replace_table(build_step(s, inputs, ordered), catalog, layer, s.table) for s in plant.silver
+    ]
+    return _refresh(writes, parallel)
 
 
 def run_gold(
@@ -67,10 +88,12 @@ def run_gold(
     source_layer: str = SILVER,
     layer: str = GOLD,
     ordered: bool = True,
+    parallel: int = 1,
 ) -> list[str]:
     ensure_layer(spark, catalog, layer)
     inputs = _layer_inputs(spark, catalog, source_layer, {s.source for s in plant.gold})
-    return [replace_table(build_step(s, inputs, ordered), catalog, layer, s.table) for s in plant.gold]
+    writes = [lambda s=s: replace_table(build_step(s, inputs, ordered), catalog, layer, s.table) for s in plant.gold]
+    return _refresh(writes, parallel)
 
 
 def run_joined(
@@ -86,11 +109,12 @@ def run_all(
     read_source: Callable[[Extract], DataFrame],
     catalog: str | None = None,
     layers: tuple[str, str, str] = (BRONZE, SILVER, GOLD),
+    parallel: int = 1,
 ) -> str:
     bronze, silver, gold = layers
-    run_bronze(spark, plant, read_source, catalog, bronze)
-    run_silver(spark, plant, catalog, bronze, silver)
-    run_gold(spark, plant, catalog, silver, gold)
+    run_bronze(spark, plant, read_source, catalog, bronze, parallel=parallel)
+    run_silver(spark, plant, catalog, bronze, silver, parallel=parallel)
+    run_gold(spark, plant, catalog, silver, gold, parallel=parallel)
     return run_joined(spark, plant, catalog, gold)
 
 

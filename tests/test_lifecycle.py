@@ -144,7 +144,7 @@ def test_cli_layer_jobs_in_one_session(spark, capsys):
 
     bronze = q.bronze(spark, SF_SMALL)
     jobs.run_bronze(spark, q.PLANT, lambda x: extract(bronze[x.source], x.where), None, BRONZE)
-    args = ["--battery-devices", "click", "view"]
+    args = ["--battery-devices", "click", "view", "--parallel", "3"]
     for job in ("silver", "gold", "joined", "explore"):
         assert main([job, *args], spark=spark) == 0
     out = capsys.readouterr().out
@@ -154,3 +154,12 @@ def test_cli_layer_jobs_in_one_session(spark, capsys):
     assert joined.count() == q.daily_balance(spark, SF_SMALL).count()
     assert main(["drop", BRONZE, SILVER, GOLD], spark=spark) == 0
     assert not any(layer_exists(spark, None, x) for x in (BRONZE, SILVER, GOLD))
+
+
+def test_parallel_refresh_writes_the_same_tables(spark, materialised):
+    jobs.run_silver(spark, q.PLANT, None, "t_bronze", "t_par_silver", parallel=4)
+    for step in q.PLANT.silver:
+        a = spark.table(qualified(None, "t_silver", step.table))
+        b = spark.table(qualified(None, "t_par_silver", step.table))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, step.table
+    drop_layer(spark, None, "t_par_silver")
