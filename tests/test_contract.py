@@ -50,10 +50,13 @@ def duck():
 @pytest.mark.parametrize("key", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, key):
     sdf = entry.queries()[key](spark, SF_SMALL)
-    s_rows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(entry.oracle_sql()[key])
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    s_table = sdf.toArrow()
+    s_rows = [tuple(r.values()) for r in s_table.to_pylist()]
+    d_table = duck.sql(entry.oracle_sql()[key]).to_arrow_table()
+    d_cols = d_table.column_names
+    d_rows = [tuple(r.values()) for r in d_table.to_pylist()]
     assert sorted(sdf.columns) == sorted(d_cols)
+    s_types = {f.name: str(f.type) for f in s_table.schema}
+    assert s_types == {f.name: str(f.type) for f in d_table.schema}
     assert len(s_rows) == len(d_rows)
     assert _digest(sdf.columns, s_rows) == _digest(d_cols, d_rows)
