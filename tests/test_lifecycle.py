@@ -163,3 +163,28 @@ def test_parallel_refresh_writes_the_same_tables(spark, materialised):
         b = spark.table(qualified(None, "t_par_silver", step.table))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, step.table
     drop_layer(spark, None, "t_par_silver")
+
+
+def test_v2_catalog_refresh_uses_create_or_replace(spark, monkeypatch):
+    from plantlake.sources import catalog as cat
+
+    calls = []
+
+    class Writer:
+        def __init__(self, name):
+            self.name = name
+
+        def createOrReplace(self):
+            calls.append(("createOrReplace", self.name))
+
+    class Frame:
+        sparkSession = spark
+
+        def writeTo(self, name):
+            return Writer(name)
+
+    monkeypatch.setattr(spark.conf, "get", lambda key, default=None: "org.example.Catalog"
+                        if key == "spark.sql.catalog.lake" else default)
+    assert cat.is_v2_catalog(spark, "lake")
+    assert cat.replace_table(Frame(), "lake", "silver", "aarr") == "`lake`.`silver`.`aarr`"
+    assert calls == [("createOrReplace", "`lake`.`silver`.`aarr`")]
