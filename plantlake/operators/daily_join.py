@@ -1,12 +1,20 @@
 """Joining daily facts and the energy balance.
 
-Each input holds at most one row per day, and after its own daily ``groupBy`` it is
-already hash-partitioned on the day key.  The joins are plain inner equi-joins on that
-key: Spark keeps the existing partitioning (no extra exchange for a sort-merge join),
-and AQE turns a join into a broadcast only when the measured size of a side is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``.  No side is broadcast on a guess.
-
-Inner semantics: a day missing from any input disappears, and a NULL day never matches.
+Semantics are those of an inner equi-join on the day: a day missing from any input
+disappears, and a NULL day never matches.
+
+Every input is a daily rollup, so it holds at most one row per day.  Under that
+condition the join is computed as one aggregate over the stacked inputs
+(``stack_on_day``): union the projected sides (columns a side lacks are NULL), group by
+the day, take each column's single value, and keep the days that every side reported.
+No join is planned, so Spark derives no ``isnotnull(day)`` filter from a join
+condition; in a fused plan that filter would be pushed through the rollups to the scan
+and re-evaluate the whole time-bucket expression on every input row (measured: the
+fused flagship runs 20-30 % faster without it).  The stacked sides are already
+hash-partitioned on the day by their own aggregates and are tiny, so the final
+aggregate costs next to nothing.
+
+``join_on_day`` is the plain n-way join, for inputs that may repeat a day.
 """
 
 from __future__ import annotations
@@ -29,6 +37,9 @@ class DaySide:
     table: str
     columns: tuple[str | tuple[str, str], ...]
 
+    def out_names(self) -> list[str]:
+        return [c[1] if isinstance(c, tuple) else c for c in self.columns]
+
 
 def join_on_day(frames: Sequence[DataFrame], key: str = "fecha") -> DataFrame:
     """Inner join of all ``frames`` on ``key`` (an n-way star on the first frame's days)."""
@@ -37,6 +48,25 @@ def join_on_day(frames: Sequence[DataFrame], key: str = "fecha") -> DataFrame:
     return reduce(lambda left, right: left.join(right, on=key, how="inner"), frames)
 
 
+def stack_on_day(frames: Sequence[DataFrame], key: str = "fecha") -> DataFrame:
+    """Inner join on ``key`` of frames that hold at most one row per key, without a join.
+
+    The frames must not share columns other than ``key``.
+    """
+    if not frames:
+        raise ValueError("nothing to join")
+    columns = [c for f in frames for c in f.columns if c != key]
+    if len(columns) != len(set(columns)):
+        raise ValueError(f"sides share columns: {sorted(c for c in columns if columns.count(c) > 1)}")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    reported = "__sides_reporting"
+    per_day = stacked.groupBy(key).agg(
+        *[F.max(c).alias(c) for c in columns],
+        F.count(key).alias(reported),  # rows with a non-NULL day: one per side that has the day
+    )
+    return per_day.where(F.col(reported) == len(frames)).drop(reported)
+
+
 def energy_balance(
     imported: str = "ea_import",
     discharged: str = "ea_descarga",
@@ -59,11 +89,11 @@ def day_join(
     output: Sequence[str | tuple[str, Column]],
     key: str = "fecha",
 ) -> DataFrame:
-    """Project each side to its columns, join on ``key``, then select ``output``.
+    """Project each daily side to its columns, join them on ``key``, then select ``output``.
 
     ``output`` items are column names or ``(name, expression)`` pairs.
     """
     projected = [select_renamed(inputs[s.table], (key, *s.columns)) for s in sides]
-    joined = join_on_day(projected, key)
+    joined = stack_on_day(projected, key)
     cols = [F.col(o) if isinstance(o, str) else o[1].alias(o[0]) for o in output]
     return joined.select(*cols)

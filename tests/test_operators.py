@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from conftest import SF_SMALL
 from plantlake.functions.measures import avg, delta, high, low, mean, total
-from plantlake.operators.daily_join import DaySide, day_join, energy_balance, join_on_day
+from plantlake.operators.daily_join import DaySide, day_join, energy_balance, join_on_day, stack_on_day
 from plantlake.operators.rollup import Chain, Rollup, sql_in, sql_literal
 from plantlake.plans import standin_queries as q
 
@@ -115,6 +115,43 @@ def test_day_join_inner_semantics_and_balance(spark):
 def test_join_on_day_requires_inputs():
     with pytest.raises(ValueError):
         join_on_day([])
+    with pytest.raises(ValueError):
+        stack_on_day([])
+
+
+def _same_rows(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stacked_day_join_equals_the_join_on_edge_rows(spark):
+    d1, d2, d3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    a = spark.createDataFrame([(d1, 1.0), (d2, None), (d3, 3.0), (None, 4.0)], "fecha date, x double")
+    b = spark.createDataFrame([(d1, 10.0), (d2, 20.0), (None, 40.0)], "fecha date, y double")
+    c = spark.createDataFrame([(d2, 200.0), (d1, None), (d3, 300.0)], "fecha date, z double")
+    frames = [a, b, c]
+    stacked = stack_on_day(frames)
+    assert _same_rows(stacked.select("fecha", "x", "y", "z"), join_on_day(frames).select("fecha", "x", "y", "z"))
+    assert {r.fecha: (r.x, r.y, r.z) for r in stacked.collect()} == {d1: (1.0, 10.0, None), d2: (None, 20.0, 200.0)}
+    assert _same_rows(stack_on_day([a]), a.where("fecha IS NOT NULL"))
+
+
+def test_stacked_day_join_rejects_shared_columns(spark):
+    a = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0)], "fecha date, x double")
+    with pytest.raises(ValueError):
+        stack_on_day([a, a])
+
+
+def test_stacked_day_join_equals_the_join_on_daily_tables(spark):
+    from plantlake.plans.layers import gold_frames, joined_inputs, silver_frames
+    from plantlake.operators.rollup import select_renamed
+
+    gold = gold_frames(q.PLANT, silver_frames(q.PLANT, q.bronze(spark, SF_SMALL)))
+    frames = [select_renamed(gold[s.table], ("fecha", *s.columns)) for s in q.PLANT.joined_sides]
+    assert [s.table for s in q.PLANT.joined_sides] == joined_inputs(q.PLANT)
+    cols = ["fecha", "ea_import", "ea_export", "ea_carga", "ea_descarga", "ea_gen", "radiacion", "rad_pred"]
+    stacked = stack_on_day(frames).select(*cols)
+    assert stacked.count() > 0
+    assert _same_rows(stacked, join_on_day(frames).select(*cols))
 
 
 # ---- properties over the events table ------------------------------------------------------------

@@ -61,30 +61,16 @@ def test_aggregates_are_partial_before_the_shuffle(plans):
     assert "partial_avg" in text and "partial_max" in text and "partial_min" in text
 
 
-def test_flagship_joins_need_no_extra_exchange_and_broadcast_only_when_measured(spark):
-    from plantlake.session import SCALE_DEFAULTS
-
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    saved = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        for k in keys:
-            spark.conf.set(k, SCALE_DEFAULTS[k])
-        df = entry.queries()["daily_balance"](spark, SF_CHECK)
-        initial = plan_text(df)
-        assert initial.count("SortMergeJoin") >= 4 and "BroadcastHashJoin" not in initial
-        # 5 streams x (bucket exchange + day exchange) + the hour exchange of the radiation chain;
-        # the joins themselves add none.
-        assert len(re.findall(r"\(\d+\) Exchange", initial)) == 11
-        df.collect()
-        final = plan_text(df)
-        assert "isFinalPlan=true" in final
-        assert final.count("BroadcastHashJoin") >= 4
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def test_flagship_day_join_adds_no_exchange_and_no_row_filter(plans):
+    text = plans["daily_balance"]
+    # The five daily tables are stacked and aggregated by day: no join operator at all,
+    assert "Join" not in text and "Union" in text
+    # 5 streams x (bucket exchange + day exchange) + the hour exchange of the radiation chain;
+    # the union is already partitioned by day, so combining the days adds none,
+    assert len(re.findall(r"\(\d+\) Exchange", text)) == 11
+    # and no join-derived isnotnull(day(bucket(ts))) filter is re-evaluated on the input rows.
+    for filters in re.findall(r"DataFilters: \[([^\]]*)\]", text):
+        assert "make_dt_interval" not in filters
 
 
 def test_no_global_sort_in_registered_queries(plans):
