@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 from plantlake.functions import bucket_start, day_of, stable_round
 
 TIMESTAMPS = st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2200, 12, 31))
-SETTINGS = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(
+    max_examples=25, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 
 
 def floor_to(ts: dt.datetime, minutes: int) -> dt.datetime:
