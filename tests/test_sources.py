@@ -135,3 +135,18 @@ def test_jdbc_source_reader_for_bronze_jobs(spark, monkeypatch):
     omie = next(x for x in plant.bronze if x.table == "omie")
     assert read(omie).count() == 1
     assert len(seen) == 1 and "partitionColumn" not in seen[0].opts
+
+
+def test_standins_provide_every_column_the_specs_read(spark):
+    from conftest import SF_SMALL
+    from plantlake.plans import standin_queries as q
+
+    bronze = q.bronze(spark, SF_SMALL)
+    for step in (*q.PLANT.silver, *q.PLANT.exploratory):
+        spec = step.spec
+        have = set(bronze[step.source].columns)
+        produced = set(spec.json.out_names()) if spec.json else set()
+        needed = {c for c in spec.input_columns() if c not in produced}
+        if spec.json:
+            needed.add(spec.json.column)
+        assert needed <= have, (step.table, sorted(needed - have))
