@@ -25,6 +25,9 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # AQE merges small shuffle partitions but cannot split a large one for an aggregate, so
+    # shuffles start fine-grained (about 25 MB each for a 50 GB shuffle) and are coalesced.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
 }
