@@ -60,3 +60,27 @@ def test_query_matches_oracle(spark, duck, key):
     assert s_types == {f.name: str(f.type) for f in d_table.schema}
     assert len(s_rows) == len(d_rows)
     assert _digest(sdf.columns, s_rows) == _digest(d_cols, d_rows)
+
+
+@pytest.mark.parametrize("key", ["daily_balance", "gold_radiation", "silver_strings"])
+def test_results_do_not_depend_on_session_settings(spark, duck, key):
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "13",
+        "spark.sql.session.timeZone": "America/Los_Angeles",
+    }
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        s_table = entry.queries()[key](spark, SF_SMALL).toArrow()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    d_table = duck.sql(entry.oracle_sql()[key]).to_arrow_table()
+    s_rows = [tuple(r.values()) for r in s_table.to_pylist()]
+    d_rows = [tuple(r.values()) for r in d_table.to_pylist()]
+    assert _digest(s_table.column_names, s_rows) == _digest(d_table.column_names, d_rows)
