@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from plantlake.functions.jsoncols import JsonUnpack, unpack
 from plantlake.functions.rounding import stable_round_sql
 from plantlake.functions.timegrid import bucket_start, day_of, hour_start
+from plantlake.plans.jobs import preview
 from plantlake.plans.layers import build_step, fused_daily_balance, silver_frames
 from plantlake.plans.plant import EMI_JSON_KEYS, Extract, Plant, plant_specs
 from plantlake.sources.catalog import register_view
@@ -81,6 +82,11 @@ def explore_pcs(spark: SparkSession, data_dir: str) -> DataFrame:
     return build_step(PLANT.exploratory_step("pcs"), bronze(spark, data_dir))
 
 
+def preview_pcs(spark: SparkSession, data_dir: str) -> DataFrame:
+    """What the exploratory job displays: the first 20 rows of the ordered rollup (a top-k, not a sort)."""
+    return preview(build_step(PLANT.exploratory_step("pcs"), bronze(spark, data_dir), ordered=True))
+
+
 # --- gold (D1-D5) and the joined table (E1-E4) -----------------------------------------------
 
 def gold(table: str) -> Query:
