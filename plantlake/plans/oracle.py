@@ -166,6 +166,7 @@ def oracle_queries() -> dict[str, str]:
         "silver_rack": silver_sql("rack"),
         "explore_pcs": explore_pcs_sql(),
         "preview_pcs": explore_pcs_sql() + " ORDER BY time_interval, equipo LIMIT 20",
+        "preview_rack": silver_sql("rack") + " ORDER BY time_interval, equipo LIMIT 20",
         "gold_meter": gold_sql("aarr"),
         "gold_radiation": gold_sql("emi"),
         "gold_logger": gold_sql("logger"),

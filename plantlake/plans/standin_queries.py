@@ -87,6 +87,11 @@ def preview_pcs(spark: SparkSession, data_dir: str) -> DataFrame:
     return preview(build_step(PLANT.exploratory_step("pcs"), bronze(spark, data_dir), ordered=True))
 
 
+def preview_rack(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The exploratory job's second display: the first 20 rows of the ordered rack rollup."""
+    return preview(build_step(PLANT.silver_step("rack"), bronze(spark, data_dir), ordered=True))
+
+
 # --- gold (D1-D5) and the joined table (E1-E4) -----------------------------------------------
 
 def gold(table: str) -> Query:
