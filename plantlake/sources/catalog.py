@@ -38,7 +38,8 @@ def ensure_layer(spark: SparkSession, catalog: str | None, layer: str) -> None:
 
 def layer_exists(spark: SparkSession, catalog: str | None, layer: str) -> bool:
     where = f" IN {qualified(catalog)}" if catalog else ""
-    rows = spark.sql(f"SHOW NAMESPACES{where}").collect()  # namespace names only
+    pattern = layer.replace("'", "\\'")
+    rows = spark.sql(f"SHOW NAMESPACES{where} LIKE '{pattern}'").collect()  # filtered by the catalog
     return any(r[0] == layer for r in rows)
 
 
