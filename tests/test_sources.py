@@ -150,3 +150,32 @@ def test_standins_provide_every_column_the_specs_read(spark):
         if spec.json:
             needed.add(spec.json.column)
         assert needed <= have, (step.table, sorted(needed - have))
+
+
+def test_build_session_applies_defaults_and_env_catalog(tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import json, sys; sys.path.insert(0, %r)\n"
+        "from plantlake.session import build_session\n"
+        "s = build_session('t', master='local[1]', conf={'spark.ui.enabled': 'false'})\n"
+        "keys = ['spark.sql.autoBroadcastJoinThreshold', 'spark.sql.adaptive.enabled', "
+        "'spark.sql.session.timeZone', 'spark.sql.catalog.lake', 'spark.sql.catalog.lake.uri']\n"
+        "print(json.dumps({k: s.conf.get(k, None) for k in keys}))\n"
+        "s.stop()\n"
+    ) % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PLANTLAKE_CATALOG="lake", PLANTLAKE_CATALOG_IMPL="org.example.Catalog",
+               PLANTLAKE_CATALOG_OPTIONS="uri=http://catalog:1/api", PLANTLAKE_TIMEZONE="Europe/Madrid")
+    out = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True,
+                         timeout=300)
+    got = json.loads(out.stdout.strip().splitlines()[-1])
+    assert got == {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.session.timeZone": "Europe/Madrid",
+        "spark.sql.catalog.lake": "org.example.Catalog",
+        "spark.sql.catalog.lake.uri": "http://catalog:1/api",
+    }
