@@ -51,20 +51,31 @@ def join_on_day(frames: Sequence[DataFrame], key: str = "fecha") -> DataFrame:
 def stack_on_day(frames: Sequence[DataFrame], key: str = "fecha") -> DataFrame:
     """Inner join on ``key`` of frames that hold at most one row per key, without a join.
 
-    The frames must not share columns other than ``key``.
+    The frames must not share columns other than ``key``.  A frame that repeats a non-NULL
+    key fails the query (``raise_error``) instead of giving a wrong answer.  Every condition
+    is on aggregate results, so none of them is pushed below the aggregate to the inputs.
     """
     if not frames:
         raise ValueError("nothing to join")
     columns = [c for f in frames for c in f.columns if c != key]
     if len(columns) != len(set(columns)):
         raise ValueError(f"sides share columns: {sorted(c for c in columns if columns.count(c) > 1)}")
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    reported = "__sides_reporting"
+    side = "__side"
+    tagged = [f.withColumn(side, F.lit(i)) for i, f in enumerate(frames)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    counts = [f"__rows_from_{i}" for i in range(len(frames))]
     per_day = stacked.groupBy(key).agg(
         *[F.max(c).alias(c) for c in columns],
-        F.count(key).alias(reported),  # rows with a non-NULL day: one per side that has the day
+        *[F.count_if(F.col(side) == i).alias(n) for i, n in enumerate(counts)],
+        F.count(key).alias("__keyed_rows"),  # 0 only for the NULL key, which never matches
     )
-    return per_day.where(F.col(reported) == len(frames)).drop(reported)
+    keyed = F.col("__keyed_rows") > 0
+    repeated = reduce(lambda a, b: a | b, [F.col(n) > 1 for n in counts])
+    everyone = reduce(lambda a, b: a & b, [F.col(n) == 1 for n in counts])
+    keep = F.when(keyed & repeated, F.raise_error(F.lit(f"a side repeats a value of {key}"))).otherwise(
+        keyed & everyone
+    )
+    return per_day.where(keep).drop(*counts, "__keyed_rows")
 
 
 def energy_balance(

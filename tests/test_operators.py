@@ -135,6 +135,18 @@ def test_stacked_day_join_equals_the_join_on_edge_rows(spark):
     assert _same_rows(stack_on_day([a]), a.where("fecha IS NOT NULL"))
 
 
+def test_stacked_day_join_refuses_a_repeated_day(spark):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    a = spark.createDataFrame([(d1, 1.0), (d1, 2.0), (None, 3.0), (None, 4.0)], "fecha date, x double")
+    b = spark.createDataFrame([(d2, 10.0)], "fecha date, y double")
+    c = spark.createDataFrame([(d1, 5.0), (d2, 6.0)], "fecha date, z double")
+    with pytest.raises(Exception, match="repeats"):
+        stack_on_day([a, b, c]).collect()
+    # repeated NULL days are fine: they never match
+    ok = spark.createDataFrame([(d1, 1.0), (None, 3.0), (None, 4.0)], "fecha date, x double")
+    assert [tuple(r) for r in stack_on_day([ok, c]).collect()] == [(d1, 1.0, 5.0)]
+
+
 def test_stacked_day_join_rejects_shared_columns(spark):
     a = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0)], "fecha date, x double")
     with pytest.raises(ValueError):
