@@ -78,9 +78,11 @@ class Rollup:
         if self.where is not None:
             df = df.where(F.expr(self.where))
         if self.json is not None:
-            produced = set(self.json.out_names())
+            produced = self.json.out_names()
             keep = [c for c in self.input_columns() if c not in produced]
-            df = unpack(df, self.json, keep)
+            used = [(k, n) for k, n in zip(self.json.keys, produced) if n in self.input_columns()]
+            spec = JsonUnpack(self.json.column, tuple(k for k, _ in used), tuple(n for _, n in used), self.json.cast)
+            df = unpack(df, spec, keep)
         keyed = df.withColumn(self.key, grain_key(F.col(self.time), self.grain))
         out = keyed.groupBy(self.key, *self.by).agg(*[m.column() for m in self.measures])
         if ordered:
