@@ -158,3 +158,13 @@ def test_json_unpack_edges(spark):
 def test_json_unpack_names_must_match_keys():
     with pytest.raises(ValueError):
         JsonUnpack("j", ("a", "b"), ("x",)).out_names()
+
+
+def test_json_unpack_repeated_key_takes_the_last_value(spark):
+    # Pinned because a faster typed read disagreed here (it kept the first number).
+    docs = [(1, '{"a": 0.0, "a": "n/a"}'), (2, '{"a": 1, "a": 2}'), (3, '{"a": "x", "a": 3.5}')]
+    df = spark.createDataFrame(docs, "id int, j string")
+    got = {r.id: r.a for r in unpack(df, JsonUnpack("j", ("a",)), keep=["id"]).collect()}
+    assert got == {1: None, 2: 2.0, 3: 3.5}
+    two = {r.id: (r.a, r.b) for r in unpack(df, JsonUnpack("j", ("a", "b")), keep=["id"]).collect()}
+    assert two == {1: (None, None), 2: (2.0, None), 3: (3.5, None)}
