@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, near_dup, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
+from . import bpe, chat, decontamination, html_extract, near_dup, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
 from .common import sha256_hex, table
 
 #: Where the public vocabulary files are; a parameter of the queries that need one.
@@ -27,6 +27,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 #: (host, path, verdict) of the URL query.
 URL_RULES = (
     ("org", "/", "allow"),
@@ -82,6 +87,7 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_html_extraction": op2_html_extraction,
     "op3_url_filters": op3_url_filters,
     "op4_toxicity": op4_toxicity,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
