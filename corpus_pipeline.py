@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.llm import bpe, decontamination, near_dup, secret_scan, toxicity
-from plantlake.llm.common import ensure_checkpoint_dir, table
+from plantlake.llm.common import ensure_checkpoint_dir, fresh, table
 from plantlake.llm.queries import vocabulary_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under the threshold."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, out="__score")
-    return scored.where(F.col("__score") < toxicity.THRESHOLD).drop("__score")
+    name = fresh(docs, "__score")
+    scored = toxicity.score(docs, model, out=name)
+    return scored.where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

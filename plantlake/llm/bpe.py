@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 CACHE_WORDS = 350_000  # words remembered by a worker before the cache is renewed from those still in use
 CACHE_LENGTH = 64  # longer words are not remembered
 OUT_BYTES = 2 << 20  # text encoded before a batch is handed back
@@ -153,14 +155,15 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", ids: str =
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     names = [c for c in df.columns if c not in (ids, decoded)]
-    source = df.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__encode"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "__encode"]
+    hidden = fresh(df, "__encode")
+    source = df.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(hidden))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != hidden]
     schema = ", ".join([*fields, f"`{ids}` array<int>", *([f"`{decoded}` string"] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_for(shared.value)
         for batch in batches:
-            texts = batch.column("__encode")
+            texts = batch.column(hidden)
             first = 0
             while first < batch.num_rows:
                 packed, plain, size, last = [], [], 0, first
@@ -171,7 +174,7 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", ids: str =
                     last += 1
                 values = np.frombuffer(b"".join(packed), dtype="<i4")
                 offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
-                out = [batch.column(c).slice(first, last - first) for c in batch.schema.names if c != "__encode"]
+                out = [batch.column(c).slice(first, last - first) for c in batch.schema.names if c != hidden]
                 out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
                 if decoded:
                     tokens = values.tolist()

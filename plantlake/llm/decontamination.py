@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .wordhash import Words, window_hashes, words
 
 TILE = 5
@@ -162,17 +163,17 @@ def without_leaks(
     tile: int = TILE, coverage: float = COVERAGE, slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """The rows of ``docs`` into which no benchmark item leaks, with their columns as they are."""
-    schema = docs.schema
+    schema, hidden = docs.schema, fresh(docs, "__text")
     for index in benchmark_slices(benchmark, item_id, item_text, tile, slice_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                column = batch.column("__text")
+                column = batch.column(hidden)
                 clean = np.ones(batch.num_rows, dtype=bool)
                 for chunk in words(column, punctuation=False):
                     clean[[x[0] for x in leaks(chunk, shared.value, coverage)]] = False
-                yield batch.drop_columns(["__text"]).filter(pa.array(clean))
+                yield batch.drop_columns([hidden]).filter(pa.array(clean))
 
-        docs = docs.withColumn("__text", F.col(f"`{text}`").cast("string")).mapInArrow(run, schema)
+        docs = docs.withColumn(hidden, F.col(f"`{text}`").cast("string")).mapInArrow(run, schema)
     return docs

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 SAMPLE = 160  # pages that the model is trained on, at most
 LAYOUTS = 4  # further layouts made of each of them
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
@@ -450,22 +452,23 @@ def extract(pages: DataFrame, model: BoostedTrees, html: str = "html", out: str
     """``pages`` without the html, with the main text (empty if there is none, for null and empty pages too)."""
     shared = pages.sparkSession.sparkContext.broadcast(model)
     names = [c for c in pages.columns if c not in (html, out)]
-    source = pages.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("__html"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "__html"]
+    hidden = fresh(pages, "__html")
+    source = pages.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias(hidden))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != hidden]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         for batch in batches:
             texts: list[str] = []
             for first in range(0, batch.num_rows, 64):
-                group = [parse(s) for s in batch.column("__html").slice(first, 64).to_pylist()]
+                group = [parse(s) for s in batch.column(hidden).slice(first, 64).to_pylist()]
                 z = trees.log_odds(np.vstack([features(p) for p in group]))
                 at = 0
                 for p in group:
                     n = len(p.tag)
                     texts.append(kept_text(p, decode(p.parent, z[at : at + n])))
                     at += n
-            kept = [batch.column(c) for c in batch.schema.names if c != "__html"]
+            kept = [batch.column(c) for c in batch.schema.names if c != hidden]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*names, out])
 
     return source.mapInArrow(run, ", ".join([*fields, f"`{out}` string"]))

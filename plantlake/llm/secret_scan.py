@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sha256_hex
+from .common import packed, sha256_hex
 
 SCOPE = 200  # code points between the starts of parts that belong together
 MASK = "[SECRET]"
@@ -58,8 +58,8 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     ``spans`` is array<struct<start, kind, kind_name, end>> sorted by start and kind, in code points, ends exclusive.
     A null or empty text has none; rows that repeat each other are kept apart; other columns pass through.
     """
-    names = [c for c in docs.columns if c != text]
-    source = docs.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"))
+    names = [c for c in docs.columns if c not in (text, "n_assign", "n_access", "n_hex", "spans")]
+    source = docs.select(packed(docs, names).alias("__rest"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"))
     t = F.col("__t")
     source = source.withColumns(
         {
@@ -79,8 +79,7 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         _matches(t, strong | F.col("__e"), 4, WEAK_SECRET, None, 1),
         _matches(t, F.col("__e"), 5, ENDPOINT, None, 1),
     )
-    rows = source.select("__row", *[F.col(f"`{c}`") for c in names], F.explode_outer(parts).alias("p"))
-    rows = rows.select("__row", *[F.col(f"`{c}`") for c in names], "p.*").repartition("__row")
+    rows = source.select("__row", "__rest", F.explode_outer(parts).alias("p")).select("__row", "__rest", "p.*").repartition("__row")
     running = Window.partitionBy("__row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(running)).withColumn("start", F.col("end") - F.col("size"))
     rows = rows.where(F.col("kind").isNull() | F.col("ok"))
@@ -106,18 +105,18 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     span = F.struct("start", "kind", named.alias("kind_name"), "end")
     kept = F.when(F.col("kind").isNotNull() & reported, span)
     count = lambda i: F.count(F.when(F.col("kind") == i, 1))
-    return (
+    whole = (
         rows.withColumn("__span", kept)
         .groupBy("__row")
         .agg(
-            *[F.first(f"`{c}`").alias(c) for c in names],
+            F.first("__rest").alias("__rest"),
             count(0).alias("n_assign"),
             count(1).alias("n_access"),
             count(2).alias("n_hex"),
             F.array_sort(F.collect_list("__span")).alias("spans"),
         )
-        .drop("__row")
     )
+    return whole.select(*[F.col(f"__rest.`{c}`").alias(c) for c in names], "n_assign", "n_access", "n_hex", "spans")
 
 
 def spans_text(spans: Column) -> Column:
@@ -137,8 +136,9 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     key = F.xxhash64(F.lit("span"), F.col(f"`{text}`").cast("string"))
     found = find_spans(docs.select(key.alias("__key"), F.length(text).alias("__size"), F.col(text).cast("string").alias("__secret")), "__secret")
     hits = found.where(F.size("spans") > 0).groupBy("__key", "__size").agg(F.first("spans").alias("__spans"))
-    joined = docs.withColumns({"__key": key, "__size": F.length(text)}).join(hits, ["__key", "__size"], "left")
-    t = F.col(f"`{text}`").cast("string")
+    moved = docs.select(packed(docs, docs.columns).alias("__rest"), key.alias("__key"), F.length(text).alias("__size"))
+    joined = moved.join(hits, ["__key", "__size"], "left")
+    t = F.col(f"__rest.`{text}`").cast("string")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("pieces"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -154,9 +154,9 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
 
     changed = F.when(F.col("__spans").isNotNull(), F.aggregate("__spans", start, step, finish)).otherwise(t)
     out = joined.withColumn("__new", changed)
-    columns = [F.col("__new").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.col("__new").alias(c) if c == text else F.col(f"__rest.`{c}`").alias(c) for c in docs.columns]
     if length in docs.columns:
         kind = docs.schema[length].dataType
-        fresh = F.when(F.col("__spans").isNotNull(), F.length("__new").cast(kind)).otherwise(F.col(f"`{length}`"))
+        fresh = F.when(F.col("__spans").isNotNull(), F.length("__new").cast(kind)).otherwise(F.col(f"__rest.`{length}`"))
         columns = [fresh.alias(c) if c == length else x for c, x in zip(docs.columns, columns, strict=True)]
     return out.select(*columns)
