@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plantlake.functions.rounding import stable_round
+from plantlake.functions.rounding import ROUNDINGS, plain_round, stable_round
 
 KINDS = ("mean", "delta", "total", "high", "low", "avg")
 
@@ -31,10 +31,13 @@ class Measure:
     source: str
     name: str
     digits: int | None = 1
+    rounding: str = "stable"
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
             raise ValueError(f"unknown measure kind {self.kind!r}; use one of {KINDS}")
+        if self.rounding not in ROUNDINGS:
+            raise ValueError(f"unknown rounding {self.rounding!r}; use one of {ROUNDINGS}")
 
     def raw(self) -> Column:
         x = F.col(self.source)
@@ -51,20 +54,20 @@ class Measure:
     def column(self) -> Column:
         value = self.raw()
         if self.kind != "avg" and self.digits is not None:
-            value = stable_round(value, self.digits)
+            value = (stable_round if self.rounding == "stable" else plain_round)(value, self.digits)
         return value.alias(self.name)
 
 
-def mean(source: str, name: str | None = None, digits: int | None = 1) -> Measure:
-    return Measure("mean", source, name or source, digits)
+def mean(source: str, name: str | None = None, digits: int | None = 1, rounding: str = "stable") -> Measure:
+    return Measure("mean", source, name or source, digits, rounding)
 
 
-def delta(source: str, name: str | None = None, digits: int | None = 1) -> Measure:
-    return Measure("delta", source, name or source, digits)
+def delta(source: str, name: str | None = None, digits: int | None = 1, rounding: str = "stable") -> Measure:
+    return Measure("delta", source, name or source, digits, rounding)
 
 
-def total(source: str, name: str | None = None, digits: int | None = 1) -> Measure:
-    return Measure("total", source, name or source, digits)
+def total(source: str, name: str | None = None, digits: int | None = 1, rounding: str = "stable") -> Measure:
+    return Measure("total", source, name or source, digits, rounding)
 
 
 def high(source: str, name: str | None = None, digits: int | None = 1) -> Measure:

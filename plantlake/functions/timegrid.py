@@ -8,8 +8,9 @@ timestamp gives a NULL bucket, so the NULL group survives ``groupBy`` the way
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 ColumnOrName = Column | str
 
@@ -38,6 +39,22 @@ def bucket_start(ts: ColumnOrName, minutes: int = 15) -> Column:
     return ts - into_bucket
 
 
+def with_bucket(df: DataFrame, name: str, ts: str, minutes: int = 15) -> DataFrame:
+    """``df`` with ``bucket_start(ts, minutes)`` as column ``name``.
+
+    Zone-less timestamps take a tumbling window's start, which is long arithmetic in codegen; a NULL time gets a
+    place-holder there and a NULL bucket after it.  Zoned ones keep ``bucket_start``: their hour may start between
+    two whole hours of UTC.
+    """
+    if minutes <= 0 or 60 % minutes:
+        raise ValueError(f"bucket width must divide 60 minutes, got {minutes}")
+    if not isinstance(df.select(F.col(ts)).schema[0].dataType, TimestampNTZType):
+        return df.withColumn(name, bucket_start(ts, minutes))
+    time = F.col(ts)
+    filled = F.coalesce(time, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return df.withColumn(name, F.when(time.isNotNull(), F.window(filled, f"{minutes} minutes")["start"]))
+
+
 def hour_start(ts: ColumnOrName) -> Column:
     """``date_trunc('hour', ts)`` that keeps the input's timestamp type."""
     return bucket_start(ts, 60)
@@ -71,6 +88,12 @@ def grain_minutes(grain: str | int) -> int:
     return minutes
 
 
+def with_grain_key(df: DataFrame, name: str, ts: str, grain: str | int) -> DataFrame:
+    """``df`` with the key column of a grain."""
+    minutes = grain_minutes(grain)
+    return df.withColumn(name, day_of(ts)) if minutes == 1440 else with_bucket(df, name, ts, minutes)
+
+
 def grain_key(ts: ColumnOrName, grain: str | int) -> Column:
     """Key column for a grain: a bucket start below one day, a ``date`` at one day."""
     minutes = grain_minutes(grain)

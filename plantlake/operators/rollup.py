@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.jsoncols import JsonUnpack, unpack
 from plantlake.functions.measures import Measure
-from plantlake.functions.timegrid import grain_key, grain_minutes
+from plantlake.functions.timegrid import grain_minutes, with_grain_key
 
 
 def sql_literal(value: object) -> str:
+    """A literal of Spark SQL, where a backslash escapes."""
     if isinstance(value, str):
-        return "'" + value.replace("'", "''") + "'"
+        return "'" + value.replace("\\", "\\\\").replace("'", "''") + "'"
     if isinstance(value, bool) or value is None:
         raise TypeError(f"unsupported literal {value!r}")
     return repr(value)
@@ -83,7 +84,7 @@ class Rollup:
             used = [(k, n) for k, n in zip(self.json.keys, produced) if n in self.input_columns()]
             spec = JsonUnpack(self.json.column, tuple(k for k, _ in used), tuple(n for _, n in used), self.json.cast)
             df = unpack(df, spec, keep)
-        keyed = df.withColumn(self.key, grain_key(F.col(self.time), self.grain))
+        keyed = with_grain_key(df, self.key, self.time, self.grain)
         out = keyed.groupBy(self.key, *self.by).agg(*[m.column() for m in self.measures])
         if ordered:
             out = out.orderBy(self.key, *self.by)

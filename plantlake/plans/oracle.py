@@ -3,12 +3,17 @@
 Written independently of the Spark specs, in the shape of the original SQL: the
 ``date_trunc + interval * floor(minute / 15)`` bucket, ``round(avg)``, ``round(max - min)``,
 a subquery for the nested daily radiation, and a five-way join for the daily balance.
-Rounding goes through the same fixed decimal as ``stable_round`` so ties agree.
+Rounding is stated here on its own: half-up from the sixth decimal, plain where a decimal cannot hold the value.
 """
 
 from __future__ import annotations
 
-from plantlake.functions.rounding import stable_round_sql as R
+def R(x: str, digits: int = 1) -> str:
+    return (
+        f"CASE WHEN abs({x}) < 1e31 THEN CAST(round(TRY_CAST({x} AS DECIMAL(38,6)), {digits}) AS DOUBLE) "
+        f"ELSE round(CAST({x} AS DOUBLE), {digits}) END"
+    )
+
 
 T15 = "date_trunc('hour', fecha) + INTERVAL 15 MINUTE * CAST(floor(date_part('minute', fecha) / 15) AS INTEGER)"
 
@@ -83,9 +88,8 @@ SILVER_SOURCE = {"strings": "inversor"}
 GOLD_SELECTS = {
     "aarr": f"SELECT CAST(time_interval AS DATE) AS fecha, {total('ea_import')}, {total('ea_export')} "
     "FROM s_aarr GROUP BY 1",
-    "emi": f"SELECT CAST(hora AS DATE) AS fecha, {total('radiacion')} FROM ("
-    "SELECT date_trunc('hour', time_interval) AS hora, avg(radiacion) AS radiacion FROM s_emi GROUP BY 1"
-    ") AS sumas_por_hora GROUP BY 1",
+    # the day's sum of hourly means, the means unrounded
+    "emi": f"SELECT day AS fecha, {R('sum(hour_mean)')} AS radiacion FROM hourly_emi GROUP BY day",
     "logger": f"SELECT CAST(time_interval AS DATE) AS fecha, {total('ea_gen')} FROM s_logger GROUP BY 1",
     "bateria": f"SELECT CAST(time_interval AS DATE) AS fecha, {R('max(soc)')} AS max_soc, "
     f"{R('min(soc)')} AS min_soc, {total('ea_carga')}, {total('ea_descarga')} FROM s_bateria GROUP BY 1",
@@ -99,8 +103,15 @@ def silver_sql(table: str) -> str:
     return _with(source) + SILVER_SELECTS[table]
 
 
+HOURLY_EMI = (
+    "hourly_emi AS (SELECT CAST(time_interval AS DATE) AS day, date_part('hour', time_interval) AS hour_of_day, "
+    "avg(radiacion) AS hour_mean FROM s_emi GROUP BY day, hour_of_day)"
+)
+
+
 def gold_sql(table: str) -> str:
-    return _with(table, extra=f"s_{table} AS ({SILVER_SELECTS[table]})") + GOLD_SELECTS[table]
+    silver = f"s_{table} AS ({SILVER_SELECTS[table]})" + (f",\n{HOURLY_EMI}" if table == "emi" else "")
+    return _with(table, extra=silver) + GOLD_SELECTS[table]
 
 
 def explore_pcs_sql() -> str:
@@ -116,7 +127,7 @@ DAILY = ("aarr", "bateria", "logger", "emi", "prediccion_meteo")
 def daily_balance_sql() -> str:
     ctes = [f"b_{t} AS ({BRONZE_CTES[t]})" for t in DAILY]
     ctes += [f"s_{t} AS ({SILVER_SELECTS[t]})" for t in DAILY]
-    ctes += [f"g_{t} AS ({GOLD_SELECTS[t]})" for t in DAILY]
+    ctes += [HOURLY_EMI, *(f"g_{t} AS ({GOLD_SELECTS[t]})" for t in DAILY)]
     return "WITH " + ",\n".join(ctes) + f"""
 SELECT g_aarr.fecha, g_aarr.ea_import, g_aarr.ea_export,
        g_bateria.ea_carga, g_bateria.ea_descarga,
@@ -176,7 +187,7 @@ def oracle_queries() -> dict[str, str]:
         "silver_pcs_lineitem": lineitem_sql("pcs"),
         "gold_meter_lineitem": lineitem_sql("aarr", gold=True),
         "view_sql": silver_sql("aarr"),
-        "bronze_extract_and": "SELECT * FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'",
+        "bronze_extract_and": "SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_suppkey = 1",
         "bronze_extract_eq": "SELECT * FROM lineitem WHERE l_linenumber = 1",
         "bronze_extract_text": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
         "bronze_extract_all": "SELECT * FROM orders",

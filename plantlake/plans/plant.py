@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from plantlake.functions.jsoncols import JsonUnpack
 from plantlake.functions.measures import avg, delta, high, low, mean, total
 from plantlake.operators.daily_join import DaySide, energy_balance
-from plantlake.operators.rollup import Chain, Rollup, sql_in
+from plantlake.operators.rollup import Chain, Rollup, sql_in, sql_literal
 
 # ---------------------------------------------------------------------------
 # Layer names, table names, default site parameters, JSON keys.
@@ -29,7 +29,6 @@ BRONZE_TABLES = (
     "bateria",
     "prediccion_meteo",
 )
-OPTIONAL_BRONZE_TABLES = ("omie",)
 DEFAULT_SITE = 11
 DEFAULT_METER = 42
 DEFAULT_TOWN = "cieza"
@@ -120,7 +119,7 @@ def plant_specs(
     bronze = [
         Extract("aarr", "aarr", f"{site_eq} AND equipo = {int(meter)}"),
         *(Extract(t, t, site_eq) for t in BRONZE_TABLES[1:-1]),
-        Extract("prediccion_meteo", "prediccion_meteo", f"localidad = '{town}'"),
+        Extract("prediccion_meteo", "prediccion_meteo", f"localidad = {sql_literal(town)}"),
     ]
     if with_market_prices:
         bronze.append(Extract("omie", "omie", None, split_by=None))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.jsoncols import JsonUnpack, unpack
 from plantlake.functions.rounding import stable_round_sql
-from plantlake.functions.timegrid import bucket_start, day_of, hour_start
+from plantlake.functions.timegrid import day_of, with_bucket
 from plantlake.plans.jobs import preview
 from plantlake.plans.layers import build_step, fused_daily_balance, silver_frames
 from plantlake.plans.plant import EMI_JSON_KEYS, Extract, Plant, plant_specs
@@ -54,13 +54,8 @@ def bronze(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
 # --- time grid and JSON (H1-H7, H13, H14) -------------------------------------------------
 
 def time_grid(spark: SparkSession, data_dir: str) -> DataFrame:
-    ts = F.col("ts")
-    return events(spark, data_dir).select(
-        "event_id",
-        bucket_start(ts, 15).alias("time_interval"),
-        hour_start(ts).alias("hora"),
-        day_of(ts).alias("fecha"),
-    )
+    grid = with_bucket(with_bucket(events(spark, data_dir), "time_interval", "ts", 15), "hora", "ts", 60)
+    return grid.select("event_id", "time_interval", "hora", day_of("ts").alias("fecha"))
 
 
 def json_unpack(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -123,8 +118,10 @@ def daily_balance(spark: SparkSession, data_dir: str) -> DataFrame:
 # --- bronze extracts (B1-B10): equality predicates pushed to the scan -------------------------
 
 def bronze_extract(table: str, where: str | None) -> Query:
+    spec = Extract(table, table, where, split_by=None)
+
     def q(spark: SparkSession, data_dir: str) -> DataFrame:
-        return extract(read_parquet_table(spark, data_dir, table), where)
+        return extract(read_parquet_table(spark, data_dir, spec.source), spec.where)
 
     return q
 
@@ -147,6 +144,5 @@ def view_sql(spark: SparkSession, data_dir: str) -> DataFrame:
                {r('max(ea_export) - min(ea_export)')} AS ea_export
         FROM {view}
         GROUP BY 1
-        ORDER BY 1
         """
     )

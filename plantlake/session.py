@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Defaults chosen for large inputs; every one can be overridden by the cluster's conf.
+# Defaults chosen for large inputs; a setting that was submitted with the job or stands in the cluster's conf wins.
 # Broadcasts are decided only from sizes measured at runtime (AQE), never from the static
 # estimate, which is derived from compressed file sizes and bounds nothing.
 SCALE_DEFAULTS = {
@@ -25,6 +26,7 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # AQE merges small shuffle partitions but cannot split a large one for an aggregate, so
     # shuffles start fine-grained (about 25 MB each for a 50 GB shuffle) and are coalesced.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
@@ -57,12 +59,14 @@ def build_session(app_name: str = "plantlake", master: str | None = None, conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {
-        **SCALE_DEFAULTS,
-        "spark.sql.session.timeZone": os.environ.get("PLANTLAKE_TIMEZONE", "UTC"),
-        **catalog_conf_from_env(),
-        **(conf or {}),
-    }
+    # the JVM has to be up, with what it must know at its start, before a SparkConf sees what was submitted
+    SparkContext._ensure_initialized(conf=SparkConf().setAll(list((conf or {}).items())))
+    submitted = SparkConf()  # what spark-submit and the cluster's defaults say
+    defaults = {**SCALE_DEFAULTS, "spark.sql.session.timeZone": "UTC"}
+    settings = {k: v for k, v in defaults.items() if not submitted.contains(k)}
+    if zone := os.environ.get("PLANTLAKE_TIMEZONE"):
+        settings["spark.sql.session.timeZone"] = zone
+    settings |= {**catalog_conf_from_env(), **(conf or {})}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

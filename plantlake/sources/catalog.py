@@ -26,9 +26,23 @@ def qualified(*parts: str | None) -> str:
 
 
 def is_v2_catalog(spark: SparkSession, catalog: str | None) -> bool:
-    if not catalog or catalog == SESSION_CATALOG:
-        return False
-    return spark.conf.get(f"spark.sql.catalog.{catalog}", None) is not None
+    """Whether tables of ``catalog`` (default: the session's) are kept by a catalog plugin."""
+    catalog = catalog or spark.conf.get("spark.sql.defaultCatalog", SESSION_CATALOG)
+    return spark.conf.get(f"spark.sql.catalog.{catalog}", "builtin") != "builtin"
+
+
+def _same_name(spark: SparkSession, a: str, b: str) -> bool:
+    return a == b or (spark.conf.get("spark.sql.caseSensitive", "false") == "false" and a.lower() == b.lower())
+
+
+def check_warehouse(spark: SparkSession) -> None:
+    """On a cluster a warehouse in a local folder would be scattered over the executors' disks."""
+    if spark.sparkContext.master.startswith("local"):  # local[..] and the one-machine local-cluster
+        return
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if warehouse.startswith("file:") or ("://" not in warehouse and default_fs.startswith("file:")):
+        raise ValueError(f"spark.sql.warehouse.dir is a local folder ({warehouse}); set one that all executors share")
 
 
 def ensure_layer(spark: SparkSession, catalog: str | None, layer: str) -> None:
@@ -40,7 +54,7 @@ def layer_exists(spark: SparkSession, catalog: str | None, layer: str) -> bool:
     where = f" IN {qualified(catalog)}" if catalog else ""
     pattern = layer.replace("'", "\\'")
     rows = spark.sql(f"SHOW NAMESPACES{where} LIKE '{pattern}'").collect()  # filtered by the catalog
-    return any(r[0] == layer for r in rows)
+    return any(_same_name(spark, r[0], layer) for r in rows)
 
 
 def layer_tables(spark: SparkSession, catalog: str | None, layer: str) -> list[str]:
@@ -48,7 +62,16 @@ def layer_tables(spark: SparkSession, catalog: str | None, layer: str) -> list[s
     if not layer_exists(spark, catalog, layer):
         return []
     rows = spark.sql(f"SHOW TABLES IN {qualified(catalog, layer)}").collect()  # catalog listing
-    return sorted(r["tableName"] for r in rows if not r["isTemporary"])
+    views = set(layer_views(spark, catalog, layer))
+    return sorted(r["tableName"] for r in rows if not r["isTemporary"] and r["tableName"] not in views)
+
+
+def layer_views(spark: SparkSession, catalog: str | None, layer: str) -> list[str]:
+    """Names of the stored views of a layer; a v2 catalog without views has none."""
+    if is_v2_catalog(spark, catalog) or not layer_exists(spark, catalog, layer):
+        return []
+    rows = spark.sql(f"SHOW VIEWS IN {qualified(catalog, layer)}").collect()  # catalog listing
+    return sorted(r["viewName"] for r in rows if not r["isTemporary"])
 
 
 STAGING_MARK = "__staging_"
@@ -61,6 +84,7 @@ def replace_table(df: DataFrame, catalog: str | None, layer: str, table: str) ->
     if is_v2_catalog(spark, catalog):
         df.writeTo(name).createOrReplace()
         return name
+    check_warehouse(spark)
     staging = qualified(catalog, layer, f"{table}{STAGING_MARK}{uuid.uuid4().hex[:12]}")
     df.write.mode("errorifexists").saveAsTable(staging)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -70,11 +94,13 @@ def replace_table(df: DataFrame, catalog: str | None, layer: str, table: str) ->
 
 
 def drop_layer(spark: SparkSession, catalog: str | None, layer: str) -> list[str]:
-    """Drop every table the layer holds (as listed by the catalog), then the namespace.
+    """Drop every view and table the layer holds (as listed by the catalog), then the namespace.
 
     Absent layer: nothing happens.  Returns the dropped table names.
     """
     dropped = layer_tables(spark, catalog, layer)
+    for v in layer_views(spark, catalog, layer):
+        spark.sql(f"DROP VIEW IF EXISTS {qualified(catalog, layer, v)}")
     for t in dropped:
         spark.sql(f"DROP TABLE IF EXISTS {qualified(catalog, layer, t)}")
     spark.sql(f"DROP NAMESPACE IF EXISTS {qualified(catalog, layer)}")

@@ -49,7 +49,8 @@ class JdbcSource:
         return cls(**values)
 
     def connection_options(self) -> dict[str, str]:
-        opts = {"url": self.url, "fetchsize": str(self.fetch_size)}
+        # zone-less database times keep their wall clock, whatever the zone of the machine
+        opts = {"url": self.url, "fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true"}
         if self.user is not None:
             opts["user"] = self.user
         if self.password is not None:

