@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, per_batch
+from .common import checkpoint, packed, per_batch
 from .graph import connected_components
 from .wordhash import shingle_sets, words
 
@@ -213,7 +213,8 @@ def _cross_pairs(threshold: float):
 
 
 def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): ``rows`` has id, ``__n`` and ``__cls`` for each input row; ``classes`` maps ``__cls`` to ``component``.
+    """(rows, classes): ``rows`` has id, ``__n`` and ``__cls`` for each input row; ``classes`` maps ``__cls`` to its ``least``
+    id and its ``component``.
 
     Two rows are linked if den * |A and B| >= num * |A or B| over their n-word shingle sets.  ``component`` is the
     least id that can be reached.  Rows without words have a null class; rows with a null id link nothing, but rows
@@ -300,7 +301,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, n
         roots = checkpoint(connected_components(merged, "a", "b"))
     labelled = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.drop("__sig"), labelled.join(least, "root").select(F.col("cls").alias("__cls"), "component")
+    return rows.drop("__sig"), labelled.join(least, "root").select(F.col("cls").alias("__cls"), "least", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -328,8 +329,15 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     """
     _, classes = near_duplicate_components(docs, id_col, text, n, num, den)
     names = docs.columns
-    every = with_classes(docs, text, n).join(classes, "__cls", "left")
-    alone = F.col("component").isNull() | F.col(id_col).isNull()
-    order = Window.partitionBy("component").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names]))
-    winners = every.where(~alone & (F.col(id_col) == F.col("component"))).withColumn("__at", F.row_number().over(order)).where("__at = 1")
-    return every.where(alone).select(*names).unionByName(winners.select(*names))
+    content = F.xxhash64("__rest")
+    first = Window.partitionBy("component").orderBy("__cls")
+    chosen = classes.where("least = component").withColumn("at", F.row_number().over(first)).where("at = 1")
+    chosen = chosen.select(F.col("__cls").alias("__key"), F.col("component").alias("__id"), F.lit(True).alias("__hit"))
+    # rows without words spread over all partitions; the text is moved once
+    key = F.coalesce("__cls", F.concat(F.lit("none"), content.cast("string")).cast("binary"))
+    moved = docs.select(packed(docs, names).alias("__rest"), F.col(f"`{text}`").alias("__t"), F.col(f"`{id_col}`").cast("long").alias("__id"))
+    every = with_classes(moved, "__t", n).drop("__t").withColumn("__key", key)
+    joined = every.join(chosen.hint("merge"), ["__key", "__id"], "left")
+    alone = F.col("__cls").isNull() | F.col("__id").isNull()
+    order = Window.partitionBy("__key", "__id").orderBy(content)
+    return joined.where(alone | F.col("__hit")).withColumn("__at", F.row_number().over(order)).where(alone | (F.col("__at") == 1)).select(*[F.col(f"__rest.`{c}`").alias(c) for c in names])
