@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, per_batch
+from .common import checkpoint, fresh, per_batch
 from .wordhash import mix
 
 ORDER = 5
@@ -39,8 +40,6 @@ _find_words = re.compile(r"[^\W_]+").findall
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
 _SALTS = (np.uint64(0x1B873593A0761D65), np.uint64(0x85EBCA6BE7037ED1))
 
-_SUFFIXES = [f"g{k}" for k in range(ORDER - 1, 0, -1)]
-
 
 def held_out(doc_id: Column) -> Column:
     """Rows kept for evaluation: crc32 of the id as text, modulo 4, is 2.  A null id is not held out."""
@@ -51,26 +50,31 @@ def text_words(text: str) -> list[str]:
     return _find_words(text.lower())
 
 
-def gram_keys(ws: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """64-bit keys of the n-grams at each character of each word: ``g5`` .. ``g1`` end there and have 5 .. 1
-    characters, ``c5`` .. ``c1`` are these without their last one.  Also the number of positions of each word."""
+def grams(ws: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ``ORDER`` code points that end at each character of each word (its end included), one row each, and the number
+    of rows of each word."""
     pad = "\x02" * (ORDER - 1)
     joined = "".join([f"{pad}{w}\x03" for w in ws])
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     lengths = np.array([len(w) + 1 for w in ws], dtype=np.int64)
-    at = np.arange(len(codes)) - np.repeat(np.cumsum(lengths + ORDER - 1) - (lengths + ORDER - 1), lengths + ORDER - 1)
+    padded = lengths + ORDER - 1
+    at = np.arange(len(codes)) - np.repeat(np.cumsum(padded) - padded, padded)
     ends = np.flatnonzero(at >= ORDER - 1)
-    keys: dict[str, np.ndarray] = {}
-    # a key is built from its last character backwards, so a suffix is a step on the way
-    gram, context = np.zeros(len(ends), dtype=np.uint64), np.zeros(len(ends), dtype=np.uint64)
-    for k in range(1, ORDER + 1):
-        gram = gram + (codes[ends - (k - 1)] + np.uint64(1)) * _MULTIPLIERS[k - 1]
-        gram = mix(gram + np.uint64(k))
-        keys[f"g{k}"] = gram
-        keys[f"c{k}"] = context
-        if k < ORDER:
-            context = mix(context + (codes[ends - k] + np.uint64(1)) * _MULTIPLIERS[k - 1] + np.uint64(100 + k))
-    return keys, lengths
+    return codes[ends[:, None] + np.arange(1 - ORDER, 1)], lengths
+
+
+def gram_keys(codes: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each row of code points."""
+    key = np.full(len(codes), codes.shape[1], dtype=np.uint64)
+    for k in range(codes.shape[1]):
+        key = mix(key + (codes[:, k].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[k])
+    return key
+
+
+def gram_codes(column: pa.Array) -> np.ndarray:
+    """The code points of equally long strings."""
+    joined = "".join(column.to_pylist()).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(joined, dtype=np.uint32).reshape(len(column), -1)
 
 
 def _buckets(keys: np.ndarray) -> list[np.ndarray]:
@@ -93,49 +97,52 @@ def word_counts(df: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def _grams(counted: DataFrame) -> DataFrame:
-    names = [f"{x}{k}" for k in range(ORDER, 0, -1) for x in "gc"]
+def gram_counts(counted: DataFrame) -> DataFrame:
+    """(word, n0, n1) -> gram, n0, n1: ``ORDER`` characters each, summed in each batch first."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, lengths = gram_keys(batch.column("word").to_pylist())
-        columns = [pa.array(keys[c].view(np.int64)) for c in names]
-        columns += [pa.array(np.repeat(batch.column(c).to_numpy(), lengths)) for c in ("n0", "n1")]
-        return pa.RecordBatch.from_arrays(columns, names=[*names, "n0", "n1"])
+        codes, lengths = grams(batch.column("word").to_pylist())
+        _, first, inverse = np.unique(gram_keys(codes), return_index=True, return_inverse=True)
+        text = codes[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        sums = [np.bincount(inverse, np.repeat(batch.column(c).to_numpy(), lengths), len(first)).astype(np.int64) for c in ("n0", "n1")]
+        names = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *map(pa.array, sums)], names=["gram", "n0", "n1"])
 
-    schema = ", ".join([f"{c} bigint" for c in names] + ["n0 bigint", "n1 bigint"])
-    return counted.mapInArrow(per_batch(run), schema).groupBy(*names).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return counted.mapInArrow(per_batch(run), "gram string, n0 bigint, n1 bigint").groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def train(labelled: DataFrame) -> DataFrame:
-    """(text, toxic) rows -> key, kind ('g' or 'c'), value: the ratios that scoring needs."""
-    top = checkpoint(_grams(word_counts(labelled)))
-    keep = lambda k: [f"{x}{j}" for j in range(k, 0, -1) for x in "gc"]
-    types = {ORDER: top}
-    for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct characters seen before each shorter n-gram
-        types[k] = types[k + 1].groupBy(*keep(k)).agg(F.count("*").alias("t"))
-    lowest = types[1].groupBy("g1").agg(F.sum("t").alias("t"))
-    total = lowest.agg(F.sum("t").alias("s"), F.count("*").alias("n")).first()
+    """(text, toxic) rows -> key, value: the ratios that scoring needs, of n-grams and (one character shorter) contexts."""
+    top = checkpoint(gram_counts(word_counts(labelled)))
+    tail = lambda k: F.substring("gram", -k, k)  # noqa: E731  the last k characters
+    context = F.expr("substring(gram, 1, length(gram) - 1)")
+    types = top.select(tail(ORDER - 1).alias("gram")).groupBy("gram").agg(F.count("*").alias("t"))
+    levels = {ORDER - 1: types}  # continuation counts: distinct characters seen before each shorter n-gram
+    for k in range(ORDER - 2, 0, -1):
+        levels[k] = levels[k + 1].select(tail(k).alias("gram")).groupBy("gram").agg(F.count("*").alias("t"))
+    total = levels[1].agg(F.sum("t").alias("s"), F.count("*").alias("n")).first()
     s, n = float(total["s"] or 1), float((total["n"] or 0) + 1)
-    shared = lowest.select("g1", ((F.col("t") - F.lit(DISCOUNT)) / s + F.lit(DISCOUNT * (n - 1) / s / n)).alias("p"))
+    shared = levels[1].select("gram", ((F.col("t") - F.lit(DISCOUNT)) / s + F.lit(DISCOUNT * (n - 1) / s / n)).alias("p"))
+    own = Window.partitionBy("context")
+
+    def with_backoff(level: DataFrame, k: int) -> DataFrame:
+        lower = shared.withColumnRenamed("gram", "shorter")
+        return level.withColumn("context", context).withColumn("shorter", tail(k - 1)).join(lower, "shorter")
+
     for k in range(2, ORDER):
-        own = Window.partitionBy(f"c{k}")
-        level = types[k].withColumn("all", F.sum("t").over(own)).withColumn("kinds", F.count("*").over(own)).join(shared, f"g{k - 1}")
+        level = with_backoff(levels[k], k).withColumn("all", F.sum("t").over(own)).withColumn("kinds", F.count("*").over(own))
         p = (F.col("t") - DISCOUNT) / F.col("all") + DISCOUNT * F.col("kinds") / F.col("all") * F.col("p")
-        shared = level.select(f"g{k}", p.alias("p"))
-    own = Window.partitionBy(f"c{ORDER}")
-    level = top
-    for c in ("0", "1"):
-        level = level.withColumn(f"all{c}", F.sum(f"n{c}").over(own)).withColumn(f"kinds{c}", F.sum(F.when(F.col(f"n{c}") > 0, 1).otherwise(0)).over(own))
-    level = level.join(shared, f"g{ORDER - 1}")
+        shared = level.select("gram", p.alias("p"))
+    level = with_backoff(top, ORDER)
     for c in ("0", "1"):
+        seen = F.col(f"n{c}") > 0
+        level = level.withColumn(f"all{c}", F.sum(f"n{c}").over(own)).withColumn(f"kinds{c}", F.sum(seen.cast("int")).over(own))
         weight = F.when(F.col(f"all{c}") > 0, DISCOUNT * F.col(f"kinds{c}") / F.col(f"all{c}")).otherwise(1.0)
-        seen = F.when(F.col(f"n{c}") > 0, (F.col(f"n{c}") - DISCOUNT) / F.col(f"all{c}")).otherwise(0.0)
-        level = level.withColumn(f"w{c}", weight).withColumn(f"p{c}", seen + F.col(f"w{c}") * F.col("p"))
-    level = checkpoint(level.select(f"g{ORDER}", f"c{ORDER}", F.log(F.col("p1") / F.col("p0")).alias("r"), F.log(F.col("w1") / F.col("w0")).alias("b")))
-    contexts = level.groupBy(f"c{ORDER}").agg(F.first("b").alias("value"))
-    return level.select(F.col(f"g{ORDER}").alias("key"), F.lit("g").alias("kind"), F.col("r").cast("float").alias("value")).unionByName(
-        contexts.select(F.col(f"c{ORDER}").alias("key"), F.lit("c").alias("kind"), F.col("value").cast("float"))
-    )
+        own_part = F.when(seen, (F.col(f"n{c}") - DISCOUNT) / F.col(f"all{c}")).otherwise(0.0)
+        level = level.withColumn(f"w{c}", weight).withColumn(f"p{c}", own_part + weight * F.col("p"))
+    level = checkpoint(level.select("gram", "context", F.log(F.col("p1") / F.col("p0")).cast("float").alias("r"), F.log(F.col("w1") / F.col("w0")).cast("float").alias("b")))
+    contexts = level.groupBy("context").agg(F.first("b").alias("value"))
+    return level.select(F.col("gram").alias("key"), F.col("r").alias("value")).unionByName(contexts.select(F.col("context").alias("key"), "value"))
 
 
 @dataclass
@@ -153,23 +160,28 @@ class Ratios:
 
     def words(self, ws: list[str]) -> np.ndarray:
         """Log-likelihood ratio (toxic to ordinary, in nats) of each word."""
-        keys, lengths = gram_keys(ws)
-        seen = self._look(self.grams, keys[f"g{ORDER}"])
-        unseen = np.nan_to_num(self._look(self.contexts, keys[f"c{ORDER}"]), nan=0.0)
+        codes, lengths = grams(ws)
+        seen = self._look(self.grams, gram_keys(codes))
+        unseen = np.nan_to_num(self._look(self.contexts, gram_keys(codes[:, :-1])), nan=0.0)
         return np.add.reduceat(np.where(np.isnan(seen), unseen, seen), np.cumsum(lengths) - lengths)
 
 
 def tables(ratios: DataFrame) -> Ratios:
-    """Fold the ratios into fixed-size tables.  Of several in one bucket the one nearest 0 counts, and a look-up takes
-    the nearer to 0 of its two buckets, so a collision can hide evidence but not invent it."""
+    """Fold the ratios into fixed-size tables.  Of several in one bucket the farthest from 0 counts, and a look-up takes
+    the nearer to 0 of its two buckets, so it is wrong only where both are shared with stronger ratios."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        places = _buckets(batch.column("key").to_numpy().view(np.uint64))
-        kinds = np.array([0 if k == "g" else 2 for k in batch.column("kind").to_pylist()])
-        where = np.concatenate([(kinds + i << TABLE_BITS) + p for i, p in enumerate(places)])
-        return pa.RecordBatch.from_arrays([pa.array(where), pa.array(np.tile(batch.column("value").to_numpy(), 2))], names=["place", "value"])
-
-    folded = ratios.mapInArrow(per_batch(run), "place bigint, value float").groupBy("place").agg(F.min_by("value", F.abs("value")).alias("value"))
+        where, values = [], []
+        for kind, length in ((0, ORDER), (2, ORDER - 1)):
+            own = pa.compute.equal(pa.compute.utf8_length(batch.column("key")), length)
+            part = batch.filter(own)
+            if part.num_rows:
+                for i, place in enumerate(_buckets(gram_keys(gram_codes(part.column("key"))))):
+                    where.append((kind + i << TABLE_BITS) + place)
+                    values.append(part.column("value").to_numpy())
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(where)), pa.array(np.concatenate(values))], names=["place", "value"])
+
+    folded = ratios.mapInArrow(per_batch(run), "place bigint, value float").groupBy("place").agg(F.max_by("value", F.struct(F.abs("value"), "value")).alias("value"))
     got = folded.toArrow()  # at most 4 * 2**TABLE_BITS rows, however large the corpus
     flat = np.full(4 << TABLE_BITS, np.nan, dtype=np.float32)
     flat[got["place"].to_numpy()] = got["value"].to_numpy()
@@ -272,8 +284,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         .agg(F.max(F.col(label).cast("int")).alias("toxic"))
     )
     fold = F.pmod(F.xxhash64("__id"), F.lit(4)) == 0
+    counts = ~held_out(F.col("__id")) & ~fold  # on both sides of the join, so that no other text is moved
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    ratios = tables(train(texts.where(~held_out(F.col("__id"))).join(usable.where(~fold), "__id").select("text", F.col("toxic"))))
+    ratios = tables(train(texts.where(counts).join(usable.where(~fold).hint("merge"), "__id").select("text", F.col("toxic"))))
     sample = usable.where(fold).orderBy(F.xxhash64("__id", F.lit(7)), "__id").limit(CALIBRATION_ROWS)
     scored = _features(texts.join(F.broadcast(sample), "__id").select("toxic", "text"), ratios).toArrow()
     x = np.array([scored[f"f{i}"].to_numpy() for i in range(FEATURES)]).T.reshape(-1, FEATURES)
@@ -302,8 +315,9 @@ def score(df: DataFrame, model: ToxicityModel, text: str = "text", out: str = "s
     shared = df.sparkSession.sparkContext.broadcast(model)
     name = str(shared._jbroadcast.id())
     names = [c for c in df.columns if c != out]
-    source = df.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__score"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "__score"]
+    hidden = fresh(df, "__score")
+    source = df.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(hidden))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != hidden]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = shared.value
@@ -311,8 +325,8 @@ def score(df: DataFrame, model: ToxicityModel, text: str = "text", out: str = "s
             _SCORERS.clear()
             _SCORERS[name] = Scorer(m.ratios)
         scorer = _SCORERS[name]
-        p = np.concatenate([m.probabilities(scorer.features(part)) for part in _slices(batch.column("__score").to_pylist())])
-        kept = [batch.column(c) for c in batch.schema.names if c != "__score"]
+        p = np.concatenate([m.probabilities(scorer.features(part)) for part in _slices(batch.column(hidden).to_pylist())])
+        kept = [batch.column(c) for c in batch.schema.names if c != hidden]
         return pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*names, out])
 
     return source.mapInArrow(per_batch(run), ", ".join([*fields, f"`{out}` double"]))
