@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import fresh
 
 SAMPLE = 160  # pages that the model is trained on, at most
+SAMPLE_CHARS = 1 << 18  # longer pages are trained on only if there are fewer than SAMPLE others
 LAYOUTS = 4  # further layouts made of each of them
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 
@@ -430,9 +431,15 @@ def _labels_of(page: Page, blocks: list[str]) -> list[bool]:
 
 
 def train(pages: DataFrame, html: str = "html", url: str = "url") -> BoostedTrees:
-    """Fit on at most ``SAMPLE`` pages, chosen by a hash of their content.  Without labels everything is kept."""
-    chosen = pages.where(F.col(html).isNotNull()).select(F.col(html).cast("string").alias("h"), F.xxhash64(html).alias("k")).orderBy("k").limit(SAMPLE)
-    sources = [r["h"] for r in chosen.collect()]
+    """Fit on at most ``SAMPLE`` different pages, chosen by a hash of their content, those over ``SAMPLE_CHARS`` last.
+
+    Only hashes are ranked; page text is read again for the chosen ones alone, one copy of each.  Without labels
+    everything is kept.
+    """
+    hashed = pages.where(F.col(html).isNotNull()).select(F.col(html).cast("string").alias("h")).withColumn("k", F.xxhash64("h"))
+    ranked = hashed.groupBy("k").agg(F.max(F.length("h") > SAMPLE_CHARS).alias("long")).orderBy("long", "k").limit(SAMPLE)
+    keys = [r["k"] for r in ranked.collect()]
+    sources = [r["h"] for r in hashed.where(F.col("k").isin(keys)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k").collect()]
     xs, ys = [], []
     for source in sources:
         page = parse(source)
