@@ -49,7 +49,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     )
     p.add_argument("--source-schema", default="public", help="schema of the source tables (bronze)")
     p.add_argument("--market-prices", action="store_true", help="also extract the market price table")
-    p.add_argument("--jdbc-partitions", type=int, default=8, help="parallel range reads per extracted table")
+    p.add_argument("--jdbc-partitions", type=int, default=0, help="range reads per extracted table (0: by its row count)")
+    p.add_argument("--rows", type=int, default=20, help="rows shown by 'explore'")
     p.add_argument("--parallel", type=int, default=1, help="tables of a layer refreshed at the same time")
     args = p.parse_args(argv)
 
@@ -81,9 +82,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             done = [jobs.run_joined(spark, plant, catalog)]
         elif args.job == "explore":
             done = []
-            for name, df in jobs.explore(spark, plant, catalog).items():
+            for name, df in jobs.explore(spark, plant, catalog, n=args.rows).items():
                 print(name)
-                df.show(truncate=False)
+                df.show(args.rows, truncate=False)
         else:
             done = [f"{layer}: {tables}" for layer, tables in jobs.drop_layers(spark, catalog, *args.layers).items()]
         for line in done:

@@ -5,10 +5,13 @@ The table is read by name (``dbtable``) and the extract predicate is applied wit
 does the filtering.  A raw ``query`` option cannot be combined with partitioned reads,
 so it is used only when no partition column is given.
 
-For large tables give ``partition_column`` (numeric, date or timestamp) and
-``num_partitions``: Spark then issues one range query per partition, run in parallel
-by the executors.  When bounds are not given they are fetched with one ``min``/``max``
-query that the database answers (a single row comes back).
+For large tables give ``partition_column`` and ``num_partitions``: Spark then issues one
+range query per partition, run in parallel by the executors.  With both bounds given the
+ranges are equal widths of any numeric, date or timestamp column.  Without them the column
+must be a date or timestamp: the database counts the rows of each day, and neighbouring
+days are joined into ranges of about equal row counts, so a wrong clock (1970, 2099) costs
+no more than its own rows.  A range holds at least one day.  Rows without a time are read
+by a query of their own.
 
 Connection values come from the environment, never from code:
 
@@ -18,12 +21,17 @@ Connection values come from the environment, never from code:
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROWS_PER_RANGE = 5_000_000
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     url: str
@@ -32,7 +40,7 @@ class JdbcSource:
     driver: str | None = None
     fetch_size: int = 10_000
     partition_column: str | None = None
-    num_partitions: int = 1
+    num_partitions: int = 1  # 0: one for every ROWS_PER_RANGE rows
     lower_bound: object | None = None
     upper_bound: object | None = None
 
@@ -77,33 +85,68 @@ def read_query(spark: SparkSession, source: JdbcSource, query: str) -> DataFrame
     return _reader(spark, source).option("query", query).load()
 
 
-def fetch_bounds(spark: SparkSession, source: JdbcSource, table: str, where: str | None) -> tuple[object, object]:
-    """``min``/``max`` of the partition column, computed by the database; one row."""
-    col = source.partition_column
+def fetch_day_counts(spark: SparkSession, source: JdbcSource, table: str, where: str | None) -> list[tuple[date | None, int]]:
+    """Rows of each day of the partition column, counted by the database: one row a day, NULL times included."""
+    day = f"CAST({source.partition_column} AS DATE)"
     cond = f" WHERE {where}" if where else ""
-    row = read_query(spark, source, f"SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}{cond}").first()
-    return row["lo"], row["hi"]
+    counted = read_query(spark, source, f"SELECT {day} AS day, COUNT(*) AS n FROM {table}{cond} GROUP BY {day}")
+    return [(r["day"], int(r["n"])) for r in counted.collect()]
+
+
+def range_starts(counts: Iterable[tuple[date | None, int]], ranges: int) -> list[date]:
+    """First days, ascending, of at most ``ranges`` runs of days; a run closes once it has its share of the rows."""
+    days = sorted((d, n) for d, n in counts if d is not None and n > 0)
+    share = sum(n for _, n in days) / max(1, ranges)
+    starts, held = [], 0
+    for day, n in days:
+        if not starts or (held + n / 2 > share and len(starts) < ranges):
+            starts.append(day)
+            held = 0
+        held += n
+    return starts
+
+
+def range_predicates(column: str, starts: list[date]) -> list[str]:
+    """One condition per range and one for NULL; together they hold for every row exactly once.
+
+    The first range is open below and the last above, so rows that arrive after the count are read too.
+    """
+    edges = [f"DATE '{d.isoformat()}'" for d in starts[1:]]
+    out = []
+    for lo, hi in zip([None, *edges], [*edges, None], strict=True):
+        parts = [f"{column} >= {lo}" if lo else None, f"{column} < {hi}" if hi else None]
+        out.append(" AND ".join(filter(None, parts)) or f"{column} IS NOT NULL")
+    return [*out, f"{column} IS NULL"]
 
 
 def read_table(spark: SparkSession, source: JdbcSource, table: str, where: str | None = None) -> DataFrame:
     """``SELECT * FROM table WHERE where``, read in parallel when a partition column is set."""
-    reader = _reader(spark, source).option("dbtable", table)
-    if source.partition_column and source.num_partitions > 1:
-        lo, hi = source.lower_bound, source.upper_bound
-        if lo is None or hi is None:
-            lo, hi = fetch_bounds(spark, source, table, where)
-        if lo is not None and hi is not None:
-            reader = reader.options(**source.partition_options(lo, hi))
-    df = reader.load()
+    if source.partition_column and source.num_partitions != 1:
+        if source.num_partitions and source.lower_bound is not None and source.upper_bound is not None:
+            options = source.partition_options(source.lower_bound, source.upper_bound)
+            df = _reader(spark, source).option("dbtable", table).options(**options).load()
+        else:
+            counts = fetch_day_counts(spark, source, table, where)
+            ranges = source.num_partitions or -(-sum(n for _, n in counts) // ROWS_PER_RANGE)
+            starts = range_starts(counts, ranges)
+            df = _read_ranges(spark, source, table, range_predicates(source.partition_column, starts))
+    else:
+        df = _reader(spark, source).option("dbtable", table).load()
     return df if where is None else df.where(F.expr(where))
 
 
+def _read_ranges(spark: SparkSession, source: JdbcSource, table: str, predicates: list[str]) -> DataFrame:
+    """One task, and one query, per predicate."""
+    options = source.connection_options()
+    return spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
+
+
 def source_reader(spark: SparkSession, source: JdbcSource, schema: str | None = None):
     """``read_source`` callable for ``jobs.run_bronze``: an extract spec -> its rows.
 
-    With ``source.num_partitions > 1`` each table is read as that many range queries on the
-    extract's ``split_by`` column (bounds from the rows the predicate keeps); an extract
-    without a split column is read in one query.
+    Unless ``source.num_partitions`` is 1, each table is read as that many (0: by its row count) range queries on the
+    extract's ``split_by`` column (sized by the rows of each day that the predicate keeps) and
+    one for NULL times; an extract without a split column is read in one query.
     """
 
     def read(x) -> DataFrame:

@@ -1,8 +1,10 @@
 """Sources: JDBC options (no database is started here), session settings, stand-ins, extracts."""
 
+from datetime import date, timedelta
+
 from plantlake.plans.plant import BRONZE_TABLES, plant_specs, string_keys
 from plantlake.session import catalog_conf_from_env, lake_catalog
-from plantlake.sources.jdbc import JdbcSource
+from plantlake.sources.jdbc import JdbcSource, range_predicates, range_starts
 from plantlake.sources.standins import STANDINS, string_currents_json
 
 
@@ -85,8 +87,8 @@ class _FakeReader:
         return self
 
     def load(self):
-        if "query" in self.opts:  # the bounds query
-            return self.spark.createDataFrame([(1, 9)], "lo int, hi int")
+        if "query" in self.opts:  # the count of each day
+            return self.spark.createDataFrame([(date(2024, 1, 1), 5), (date(2024, 1, 2), 5), (None, 1)], "day date, n long")
         return self.spark.createDataFrame(self.rows, self.schema)
 
 
@@ -102,11 +104,10 @@ def test_jdbc_read_table_partitions_and_filters(spark, monkeypatch):
         return r
 
     monkeypatch.setattr(jdbc, "_reader", fake)
-    src = JdbcSource("jdbc:x", user="u", password="p", partition_column="id", num_partitions=4)
+    src = JdbcSource("jdbc:x", user="u", password="p", partition_column="id", num_partitions=4, lower_bound=1, upper_bound=9)
     df = jdbc.read_table(spark, src, "public.aarr", "instalacion = 11 AND equipo = 42")
     assert [tuple(r) for r in df.collect()] == [(11, 42, 1.0)]
-    table, bounds = made
-    assert bounds.opts["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM public.aarr WHERE instalacion = 11 AND equipo = 42"
+    (table,) = made
     assert table.opts["dbtable"] == "public.aarr"
     assert (table.opts["partitionColumn"], table.opts["lowerBound"], table.opts["upperBound"]) == ("id", "1", "9")
     assert table.opts["numPartitions"] == "4" and table.opts["user"] == "u"
@@ -122,21 +123,53 @@ def test_jdbc_source_reader_for_bronze_jobs(spark, monkeypatch):
         seen.append(r)
         return r
 
+    def ranges(spark_, source, table, predicates):
+        asked.append((table, predicates))
+        return spark_.createDataFrame([(1,), (11,)], "instalacion int")
+
+    asked = []
     monkeypatch.setattr(jdbc, "_reader", fake)
+    monkeypatch.setattr(jdbc, "_read_ranges", ranges)
     plant = plant_specs(with_market_prices=True)
     src = JdbcSource("jdbc:x", num_partitions=8)
     read = jdbc.source_reader(spark, src, "public")
     inversor = next(x for x in plant.bronze if x.table == "inversor")
-    assert read(inversor).count() == 0  # the fake rows have no site 11
-    table, bounds = seen
-    assert table.opts["dbtable"] == "public.inversor" and table.opts["partitionColumn"] == "fecha"
-    assert bounds.opts["query"].endswith("FROM public.inversor WHERE instalacion = 11")
+    assert read(inversor).count() == 1
+    counts = seen[0]
+    assert counts.opts["query"] == (
+        "SELECT CAST(fecha AS DATE) AS day, COUNT(*) AS n FROM public.inversor WHERE instalacion = 11 GROUP BY CAST(fecha AS DATE)"
+    )
+    by_day = asked[:]
+    asked.clear()
+    jdbc.source_reader(spark, JdbcSource("jdbc:x", num_partitions=0), "public")(inversor)
+    assert asked == [("public.inversor", ["fecha IS NOT NULL", "fecha IS NULL"])]  # few rows: one range
+    assert by_day == [("public.inversor", ["fecha < DATE '2024-01-02'", "fecha >= DATE '2024-01-02'", "fecha IS NULL"])]
     seen.clear()
     omie = next(x for x in plant.bronze if x.table == "omie")
     assert read(omie).count() == 1
     assert len(seen) == 1 and "partitionColumn" not in seen[0].opts
 
 
+def test_jdbc_ranges_follow_the_rows_of_each_day():
+    days = [(date(2024, 1, 1) + timedelta(k), 100) for k in range(80)]
+    wrong_clocks = [(date(1970, 1, 1), 1), (date(2099, 12, 31), 2), (None, 7)]
+    starts = range_starts([*wrong_clocks, *reversed(days)], 8)
+    assert len(starts) == 8
+    sizes = [sum(n for d, n in [*days, *wrong_clocks[:2]] if lo <= d and (hi is None or d < hi)) for lo, hi in zip(starts, [*starts[1:], None])]
+    assert sum(sizes) == 8003 and max(sizes) <= 1100
+    assert range_starts([], 8) == [] and range_starts([(None, 5)], 8) == []
+    assert range_starts(days[:3], 8) == [d for d, _ in days[:3]]  # never less than a day
+    assert range_starts([(date(2024, 1, 1), 1), (date(2024, 1, 2), 1_000_000), (date(2024, 1, 3), 1)], 4)[:2] == [date(2024, 1, 1), date(2024, 1, 2)]
+
+
+def test_jdbc_range_predicates_hold_for_every_row_once(spark):
+    rows = [("1970-01-01 00:00:00",), ("2024-01-01 23:59:59",), ("2024-01-02 00:00:00",), ("2024-01-05 12:00:00",), ("2099-12-31 00:00:00",), (None,)]
+    df = spark.createDataFrame(rows, "t string").selectExpr("cast(t as timestamp_ntz) as fecha")
+    for starts in ([], [date(2024, 1, 1)], [date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 5)]):
+        held = [df.where(p).count() for p in range_predicates("fecha", starts)]
+        assert sum(held) == len(rows) and held[-1] == 1
+
+
 def test_standins_provide_every_column_the_specs_read(spark):
     from conftest import SF_SMALL
     from plantlake.plans import standin_queries as q
