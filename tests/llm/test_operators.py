@@ -270,3 +270,16 @@ def test_dropped_nodes_take_their_subtrees_along():
     parent = [-1, 0, 1, 1, 0]
     assert html_extract.decode(parent, np.array([0, -5, 1, 1, 2.0])) == [True, False, False, False, True]
     assert html_extract.decode(parent, np.array([0, -1, 4, 4, -2.0])) == [True, True, True, True, False]
+
+
+def test_html_training_reads_each_chosen_page_once(spark):
+    from plantlake.llm import html_extract as h
+
+    page = "<html><body><nav><a href='/'>Home</a></nav><article><p>Some words here.</p></article></body></html>"
+    rows = [(k, page) for k in range(300)] + [(300, None), (301, ""), (302, page.replace("words", "x" * (h.SAMPLE_CHARS + 1)))]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    got = {r["page_id"]: r["text"] for r in h.extract(pages, h.train(pages)).collect()}
+    assert len(got) == 303 and got[300] == got[301] == ""
+    assert {got[k] for k in range(300)} == {"Some words here."}
+    nothing = pages.where("false")
+    assert h.extract(nothing, h.train(nothing)).count() == 0
