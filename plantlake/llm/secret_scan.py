@@ -133,10 +133,11 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
 
     The length column, if the table has one, is renewed for changed texts.  Rows without spans are unchanged.
     """
-    key = F.xxhash64(F.lit("span"), F.col(f"`{text}`").cast("string"))
-    found = find_spans(docs.select(key.alias("__key"), F.length(text).alias("__size"), F.col(text).cast("string").alias("__secret")), "__secret")
+    whole = F.col(f"`{text}`").cast("string")
+    key = F.struct(F.xxhash64(F.lit("span"), whole), F.xxhash64(F.lit("text"), whole))  # 128 bits stand for a text
+    found = find_spans(docs.select(key.alias("__key"), F.length(whole).alias("__size"), whole.alias("__secret")), "__secret")
     hits = found.where(F.size("spans") > 0).groupBy("__key", "__size").agg(F.first("spans").alias("__spans"))
-    moved = docs.select(packed(docs, docs.columns).alias("__rest"), key.alias("__key"), F.length(text).alias("__size"))
+    moved = docs.select(packed(docs, docs.columns).alias("__rest"), key.alias("__key"), F.length(whole).alias("__size"))
     joined = moved.join(hits, ["__key", "__size"], "left")
     t = F.col(f"__rest.`{text}`").cast("string")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("pieces"))
