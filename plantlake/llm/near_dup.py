@@ -83,10 +83,11 @@ def _classify(n: int, with_signature: bool):
 
 
 def with_classes(df: DataFrame, text: str, n: int, signatures: bool = False) -> DataFrame:
-    """``df`` (its columns as they are) with ``__n``, ``__cls`` and, if asked for, ``__sig``."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    """``df`` without ``text`` (its other columns as they are), with ``__n``, ``__cls`` and, if asked for, ``__sig``."""
+    rest = df.drop(text)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
     schema = f"{fields}, __n bigint, __cls binary" + (", __sig binary" if signatures else "")
-    source = df.withColumn("__text", F.col(text).cast("string"))
+    source = df.select(*rest.columns, F.col(text).cast("string").alias("__text"))
     return source.mapInArrow(_classify(n, signatures), schema)
 
 
@@ -116,8 +117,8 @@ def _plausible(threshold: float):
 def _confirm(n: int, num: int, den: int):
     """Pairs whose full shingle sets reach num/den."""
 
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        return [s for chunk in words(column) for s in shingle_sets(chunk, n)]
+    def sets(column: pa.Array) -> Iterator[np.ndarray]:
+        return (s for chunk in words(column) for s in shingle_sets(chunk, n))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -222,7 +223,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, n
     """
     threshold = num / den
     base = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text).alias("__t"))
-    signed = with_classes(base, "__t", n, signatures=True).drop("__t")
+    signed = with_classes(base, "__t", n, signatures=True)
     rows = checkpoint(signed)
     classes = (
         rows.where("__cls is not null and __id is not null")
@@ -336,7 +337,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     # rows without words spread over all partitions; the text is moved once
     key = F.coalesce("__cls", F.concat(F.lit("none"), content.cast("string")).cast("binary"))
     moved = docs.select(packed(docs, names).alias("__rest"), F.col(f"`{text}`").alias("__t"), F.col(f"`{id_col}`").cast("long").alias("__id"))
-    every = with_classes(moved, "__t", n).drop("__t").withColumn("__key", key)
+    every = with_classes(moved, "__t", n).withColumn("__key", key)
     joined = every.join(chosen.hint("merge"), ["__key", "__id"], "left")
     alone = F.col("__cls").isNull() | F.col("__id").isNull()
     order = Window.partitionBy("__key", "__id").orderBy(content)
