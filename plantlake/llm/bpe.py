@@ -23,9 +23,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import PerWorker, fresh
 
-CACHE_WORDS = 350_000  # words remembered by a worker before the cache is renewed from those still in use
+CACHE_WORDS = 100_000  # words remembered by a worker before the cache is renewed from those still in use
 CACHE_LENGTH = 64  # longer words are not remembered
 OUT_BYTES = 2 << 20  # text encoded before a batch is handed back
 
@@ -130,15 +130,8 @@ class WordEndBpe:
         return " ".join([strings[i] for i in ids])
 
 
-_CODERS: dict[int, WordEndBpe] = {}  # one per vocabulary, kept by the Python worker from task to task
-
-
 def coder_for(vocabulary: str) -> WordEndBpe:
-    key = hash(vocabulary)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = WordEndBpe(json.loads(vocabulary))
-    return _CODERS[key]
+    return WordEndBpe(json.loads(vocabulary))
 
 
 def load(path: str) -> str:
@@ -153,7 +146,7 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", ids: str =
     ``vocabulary`` is the file's content (a few megabytes; broadcast).  A null text counts as empty: no tokens and an
     empty decoding.  Whole texts are encoded; other columns pass through unchanged.
     """
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = df.sparkSession.sparkContext.broadcast(PerWorker(coder_for, vocabulary))
     names = [c for c in df.columns if c not in (ids, decoded)]
     hidden = fresh(df, "__encode")
     source = df.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(hidden))
@@ -161,7 +154,7 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", ids: str =
     schema = ", ".join([*fields, f"`{ids}` array<int>", *([f"`{decoded}` string"] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_for(shared.value)
+        coder = shared.value.get()
         for batch in batches:
             texts = batch.column(hidden)
             first = 0

@@ -56,6 +56,25 @@ def sha256_hex(column: Column) -> Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+class PerWorker:
+    """A value to broadcast, with an object that each Python worker makes of it once.
+
+    The object lives as long as the worker's copy of the broadcast, so it is freed when the worker turns to tasks
+    that do not use it; a worker never holds the caches of several operators.
+    """
+
+    def __init__(self, make: Callable, value: object) -> None:
+        self.make, self.value, self.made = make, value, None
+
+    def __getstate__(self) -> dict:
+        return {"make": self.make, "value": self.value, "made": None}
+
+    def get(self) -> object:
+        if self.made is None:
+            self.made = self.make(self.value)
+        return self.made
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function that maps each batch on its own; empty batches are skipped."""
 

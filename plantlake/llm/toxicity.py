@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, per_batch
+from .common import PerWorker, checkpoint, fresh, per_batch
 from .wordhash import mix
 
 ORDER = 5
@@ -33,7 +33,7 @@ DISCOUNT = 0.75
 TABLE_BITS = 21  # each of the two scoring tables has 2**21 buckets
 CALIBRATION_ROWS = 20_000  # labelled rows that fit the calibration, at most
 THRESHOLD = 0.3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 TELLING = 3.0  # nats by which a word must favour the toxic model to be counted as telling
 
 _find_words = re.compile(r"[^\W_]+").findall
@@ -221,16 +221,6 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[str, Scorer] = {}  # one per model, kept by the Python worker from task to task
-
-
-def _scorer(shared, name: str) -> Scorer:
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(shared.value)
-    return _SCORERS[name]
-
-
 def _slices(texts: list[str], size: int = 2 << 20) -> Iterator[list[str]]:
     """Runs of texts of about ``size`` characters."""
     part, chars = [], 0
@@ -261,7 +251,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
 
 @dataclass
 class ToxicityModel:
-    ratios: Ratios
+    ratios: Ratios | None
     weights: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -299,11 +289,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
 def _features(df: DataFrame, ratios: Ratios) -> DataFrame:
     """(toxic, text) -> toxic, f0 .. f4."""
-    shared = df.sparkSession.sparkContext.broadcast(ratios)
-    name = str(id(shared)) + str(shared._jbroadcast.id() if shared._jbroadcast is not None else "")
+    shared = df.sparkSession.sparkContext.broadcast(PerWorker(Scorer, ratios))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scorer = _scorer(shared, name)
+        scorer = shared.value.get()
         x = np.vstack([scorer.features(part) for part in _slices(batch.column("text").to_pylist())])
         return pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x[:, i]) for i in range(FEATURES))], names=["toxic", *(f"f{i}" for i in range(FEATURES))])
 
@@ -312,20 +301,16 @@ def _features(df: DataFrame, ratios: Ratios) -> DataFrame:
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
     """``df`` with a score from 0 to 1 for the whole of each text; a null text counts as empty."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    name = str(shared._jbroadcast.id())
+    shared = df.sparkSession.sparkContext.broadcast(PerWorker(Scorer, model.ratios))
+    probabilities = replace(model, ratios=None).probabilities  # the tables go out once, in the broadcast
     names = [c for c in df.columns if c != out]
     hidden = fresh(df, "__score")
     source = df.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(hidden))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != hidden]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m = shared.value
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(m.ratios)
-        scorer = _SCORERS[name]
-        p = np.concatenate([m.probabilities(scorer.features(part)) for part in _slices(batch.column(hidden).to_pylist())])
+        scorer = shared.value.get()
+        p = np.concatenate([probabilities(scorer.features(part)) for part in _slices(batch.column(hidden).to_pylist())])
         kept = [batch.column(c) for c in batch.schema.names if c != hidden]
         return pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*names, out])
 
