@@ -3,13 +3,15 @@
 Both models predict the characters of a word from up to four before them.  Their highest order is counted for each class
 (toxic, ordinary); every lower order is one shared Kneser-Ney table of continuation counts over both classes, so an
 expression that is rare in one class falls back to the same smoothed estimate as in the other and only real evidence
-separates them.  All counts come from all labelled training rows, aggregated by Spark.
+separates them.  All counts come from all labelled training rows, aggregated by Spark; the rows of the calibration are
+counted apart as well, so that they can be taken off again.
 
 For scoring, what is left of both models is the log-likelihood ratio of each seen n-gram and the ratio of the two
 backoff weights of each context (the shared part cancels for unseen n-grams).  They are kept in arrays of a fixed
 number of hashed buckets, so what is broadcast does not grow with the corpus.  A text is described by its
-length-normalised difference of log-likelihoods and by that of its most telling words, and a logistic calibration,
-fitted on a bounded sample of training rows that the models did not see, turns these into a score.
+length-normalised difference of log-likelihoods and by that of its most telling words, and a logistic calibration turns
+these into a score.  It is fitted on a bounded sample of training rows, described by models without the counts of these
+rows; texts are then scored by the models of all training rows.
 """
 
 from __future__ import annotations
@@ -81,39 +83,43 @@ def _buckets(keys: np.ndarray) -> list[np.ndarray]:
     return [(mix(keys ^ salt) >> np.uint64(64 - TABLE_BITS)).astype(np.int64) for salt in _SALTS]
 
 
+COUNTS = ("n0", "n1", "s0", "s1")  # of each class: in all training rows, in those of the calibration
+
+
 def word_counts(df: DataFrame) -> DataFrame:
-    """(text, toxic) rows -> word, n0, n1: how often each class has the word, summed in each batch first."""
+    """(text, toxic, apart) rows -> word and ``COUNTS``: how often each class has the word, summed in each batch first."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        totals = (Counter(), Counter())
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            totals[toxic].update(text_words(text))
+        totals = [Counter() for _ in COUNTS]
+        for text, toxic, apart in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "apart")), strict=True):
+            ws = text_words(text)
+            totals[toxic].update(ws)
+            if apart:
+                totals[2 + toxic].update(ws)
         every = list(totals[0].keys() | totals[1].keys())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(every, pa.string()), *(pa.array([t[w] for w in every], pa.int64()) for t in totals)], names=["word", "n0", "n1"]
-        )
+        return pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([t[w] for w in every], pa.int64()) for t in totals)], names=["word", *COUNTS])
 
-    counted = df.select("text", "toxic").mapInArrow(per_batch(run), "word string, n0 bigint, n1 bigint")
-    return counted.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = df.select("text", "toxic", "apart").mapInArrow(per_batch(run), "word string, n0 bigint, n1 bigint, s0 bigint, s1 bigint")
+    return counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
 def gram_counts(counted: DataFrame) -> DataFrame:
-    """(word, n0, n1) -> gram, n0, n1: ``ORDER`` characters each, summed in each batch first."""
+    """Words and ``COUNTS`` -> gram and ``COUNTS``: ``ORDER`` characters each, summed in each batch first."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         codes, lengths = grams(batch.column("word").to_pylist())
         _, first, inverse = np.unique(gram_keys(codes), return_index=True, return_inverse=True)
         text = codes[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-        sums = [np.bincount(inverse, np.repeat(batch.column(c).to_numpy(), lengths), len(first)).astype(np.int64) for c in ("n0", "n1")]
+        sums = [np.bincount(inverse, np.repeat(batch.column(c).to_numpy(), lengths), len(first)).astype(np.int64) for c in COUNTS]
         names = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *map(pa.array, sums)], names=["gram", "n0", "n1"])
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *map(pa.array, sums)], names=["gram", *COUNTS])
 
-    return counted.mapInArrow(per_batch(run), "gram string, n0 bigint, n1 bigint").groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = counted.mapInArrow(per_batch(run), "gram string, n0 bigint, n1 bigint, s0 bigint, s1 bigint")
+    return counted.groupBy("gram").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
-def train(labelled: DataFrame) -> DataFrame:
-    """(text, toxic) rows -> key, value: the ratios that scoring needs, of n-grams and (one character shorter) contexts."""
-    top = checkpoint(gram_counts(word_counts(labelled)))
+def train(top: DataFrame) -> DataFrame:
+    """(gram, n0, n1) -> key, value: the ratios that scoring needs, of n-grams and (one character shorter) contexts."""
     tail = lambda k: F.substring("gram", -k, k)  # noqa: E731  the last k characters
     context = F.expr("substring(gram, 1, length(gram) - 1)")
     types = top.select(tail(ORDER - 1).alias("gram")).groupBy("gram").agg(F.count("*").alias("t"))
@@ -262,8 +268,9 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """Train on the labelled rows that are not held out: three quarters of them count for the language models, the rest
-    (a sample of at most ``CALIBRATION_ROWS`` by a hash of the id) for the calibration.
+    """Train on the labelled rows that are not held out.  All of them count for the language models.  The calibration is
+    fitted on a quarter of them (a sample of at most ``CALIBRATION_ROWS`` by a hash of the id), described by models
+    without the counts of the sample.
 
     Null labels and ids are left out; an id with several labels counts as toxic if one of them is.  Null texts are
     empty.  Without labelled rows every score is 0.5; with one class only, its share is the score.
@@ -274,11 +281,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         .agg(F.max(F.col(label).cast("int")).alias("toxic"))
     )
     fold = F.pmod(F.xxhash64("__id"), F.lit(4)) == 0
-    counts = ~held_out(F.col("__id")) & ~fold  # on both sides of the join, so that no other text is moved
+    sample = checkpoint(usable.where(fold).orderBy(F.xxhash64("__id", F.lit(7)), "__id").limit(CALIBRATION_ROWS))
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    ratios = tables(train(texts.where(counts).join(usable.where(~fold).hint("merge"), "__id").select("text", F.col("toxic"))))
-    sample = usable.where(fold).orderBy(F.xxhash64("__id", F.lit(7)), "__id").limit(CALIBRATION_ROWS)
-    scored = _features(texts.join(F.broadcast(sample), "__id").select("toxic", "text"), ratios).toArrow()
+    apart = F.broadcast(sample.select("__id", F.lit(True).alias("apart")))
+    labelled = texts.where(~held_out(F.col("__id"))).join(usable.hint("merge"), "__id").join(apart, "__id", "left")
+    top = checkpoint(gram_counts(word_counts(labelled.withColumn("apart", F.coalesce("apart", F.lit(False))))))
+    ratios = tables(train(top.select("gram", "n0", "n1")))
+    rest = top.select("gram", (F.col("n0") - F.col("s0")).alias("n0"), (F.col("n1") - F.col("s1")).alias("n1")).where("n0 + n1 > 0")
+    scored = _features(texts.join(F.broadcast(sample), "__id").select("toxic", "text"), tables(train(rest))).toArrow()
     x = np.array([scored[f"f{i}"].to_numpy() for i in range(FEATURES)]).T.reshape(-1, FEATURES)
     y = scored["toxic"].to_numpy().astype(float)
     if not len(y):

@@ -250,6 +250,22 @@ def test_toxicity_learns_from_training_rows_only(spark):
     assert toxicity.toxicity(frame(spark, [(1, "a")]), lab.limit(0)).first().score == pytest.approx(0.5)
 
 
+def test_every_training_row_counts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 60)
+    pick = random.Random(5)
+    word = lambda: "".join(pick.choice(["ba", "do", "mi", "ru", "te"]) for _ in range(3))
+    ids = spark.range(1200).select("id", toxicity.held_out(F.col("id")).alias("held"), (F.pmod(F.xxhash64("id"), F.lit(4)) == 0).alias("fold")).collect()
+    rows, labels = [], []
+    for i, held, fold in ids:
+        text = [word() for _ in range(40)]
+        if i % 4 == 0:  # one expression occurs in a quarter of the training rows only
+            text[7] = "wuxqzy" if held or fold else "vokkjh"
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert model.ratios.words(["wuxqzy", "vokkjh"]).min() > toxicity.TELLING
+
+
 def test_html_of_another_template(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html")
     model = html_extract.train(pages)
