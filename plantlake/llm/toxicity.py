@@ -7,8 +7,9 @@ separates them.  All counts come from all labelled training rows, aggregated by
 counted apart as well, so that they can be taken off again.
 
 For scoring, what is left of both models is the log-likelihood ratio of each seen n-gram and the ratio of the two
-backoff weights of each context (the shared part cancels for unseen n-grams).  They are kept in arrays of a fixed
-number of hashed buckets, so what is broadcast does not grow with the corpus.  A text is described by its
+backoff weights of each context (the shared part cancels for unseen n-grams).  Every ratio is kept, under a 64-bit key of
+its characters.  Up to ``HELD_RATIOS`` of them are broadcast as sorted arrays; more stay a Spark table, and the distinct
+words of the texts are scored by joining their n-grams with it.  A text is described by its
 length-normalised difference of log-likelihoods and by that of its most telling words, and a logistic calibration turns
 these into a score.  It is fitted on a bounded sample of training rows, described by models without the counts of these
 rows; texts are then scored by the models of all training rows.
@@ -27,12 +28,12 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PerWorker, checkpoint, fresh, per_batch
+from .common import PerWorker, checkpoint, fresh, packed, per_batch
 from .wordhash import mix
 
 ORDER = 5
 DISCOUNT = 0.75
-TABLE_BITS = 21  # each of the two scoring tables has 2**21 buckets
+HELD_RATIOS = 1 << 21  # ratios that are broadcast, at most; with more, words are scored by a join
 CALIBRATION_ROWS = 20_000  # labelled rows that fit the calibration, at most
 THRESHOLD = 0.3
 CACHE_WORDS = 100_000
@@ -40,7 +41,6 @@ TELLING = 3.0  # nats by which a word must favour the toxic model to be counted
 
 _find_words = re.compile(r"[^\W_]+").findall
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
-_SALTS = (np.uint64(0x1B873593A0761D65), np.uint64(0x85EBCA6BE7037ED1))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -79,10 +79,6 @@ def gram_codes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(joined, dtype=np.uint32).reshape(len(column), -1)
 
 
-def _buckets(keys: np.ndarray) -> list[np.ndarray]:
-    return [(mix(keys ^ salt) >> np.uint64(64 - TABLE_BITS)).astype(np.int64) for salt in _SALTS]
-
-
 COUNTS = ("n0", "n1", "s0", "s1")  # of each class: in all training rows, in those of the calibration
 
 
@@ -119,7 +115,9 @@ def gram_counts(counted: DataFrame) -> DataFrame:
 
 
 def train(top: DataFrame) -> DataFrame:
-    """(gram, n0, n1) -> key, value: the ratios that scoring needs, of n-grams and (one character shorter) contexts."""
+    """(gram, n0, n1) -> key, value: the ratios that scoring needs, of n-grams and (one character shorter) contexts.
+
+    A key is the 64 bits of ``gram_keys``, which tell the two lengths apart."""
     tail = lambda k: F.substring("gram", -k, k)  # noqa: E731  the last k characters
     context = F.expr("substring(gram, 1, length(gram) - 1)")
     types = top.select(tail(ORDER - 1).alias("gram")).groupBy("gram").agg(F.count("*").alias("t"))
@@ -148,56 +146,62 @@ def train(top: DataFrame) -> DataFrame:
         level = level.withColumn(f"w{c}", weight).withColumn(f"p{c}", own_part + weight * F.col("p"))
     level = checkpoint(level.select("gram", "context", F.log(F.col("p1") / F.col("p0")).cast("float").alias("r"), F.log(F.col("w1") / F.col("w0")).cast("float").alias("b")))
     contexts = level.groupBy("context").agg(F.first("b").alias("value"))
-    return level.select(F.col("gram").alias("key"), F.col("r").alias("value")).unionByName(contexts.select(F.col("context").alias("key"), "value"))
+    named = level.select("gram", F.col("r").alias("value")).unionByName(contexts.select(F.col("context").alias("gram"), "value"))
+    return checkpoint(named.mapInArrow(per_batch(_keyed), "key bigint, value float"))
+
+
+def _keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    lengths = pa.compute.utf8_length(batch.column("gram")).to_numpy()
+    keys = np.zeros(batch.num_rows, dtype=np.uint64)
+    for length in (ORDER, ORDER - 1):
+        own = lengths == length
+        if own.any():
+            keys[own] = gram_keys(gram_codes(batch.column("gram").filter(pa.array(own))))
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("value")], names=["key", "value"])
 
 
 @dataclass
 class Ratios:
-    """Fixed-size tables: for n-grams and for contexts, two hashings each; NaN where nothing falls."""
+    """All ratios, of n-grams and of contexts, in the order of their keys."""
 
-    grams: list[np.ndarray]
-    contexts: list[np.ndarray]
+    keys: np.ndarray
+    values: np.ndarray
 
-    @staticmethod
-    def _look(tables: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
-        a, b = (t[i] for t, i in zip(tables, _buckets(keys), strict=True))
-        least = np.where(np.abs(a) <= np.abs(b), a, b)
-        return np.where(np.isnan(a) | np.isnan(b), np.nan, least)
+    def _look(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key; NaN where there is none."""
+        if not len(self.keys):
+            return np.full(len(keys), np.nan)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[at].astype(np.float64), np.nan)
 
     def words(self, ws: list[str]) -> np.ndarray:
         """Log-likelihood ratio (toxic to ordinary, in nats) of each word."""
         codes, lengths = grams(ws)
-        seen = self._look(self.grams, gram_keys(codes))
-        unseen = np.nan_to_num(self._look(self.contexts, gram_keys(codes[:, :-1])), nan=0.0)
+        seen = self._look(gram_keys(codes))
+        unseen = np.nan_to_num(self._look(gram_keys(codes[:, :-1])), nan=0.0)
         return np.add.reduceat(np.where(np.isnan(seen), unseen, seen), np.cumsum(lengths) - lengths)
 
 
-def tables(ratios: DataFrame) -> Ratios:
-    """Fold the ratios into fixed-size tables.  Of several in one bucket the farthest from 0 counts, and a look-up takes
-    the nearer to 0 of its two buckets, so it is wrong only where both are shared with stronger ratios."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        where, values = [], []
-        for kind, length in ((0, ORDER), (2, ORDER - 1)):
-            own = pa.compute.equal(pa.compute.utf8_length(batch.column("key")), length)
-            part = batch.filter(own)
-            if part.num_rows:
-                for i, place in enumerate(_buckets(gram_keys(gram_codes(part.column("key"))))):
-                    where.append((kind + i << TABLE_BITS) + place)
-                    values.append(part.column("value").to_numpy())
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(where)), pa.array(np.concatenate(values))], names=["place", "value"])
-
-    folded = ratios.mapInArrow(per_batch(run), "place bigint, value float").groupBy("place").agg(F.max_by("value", F.struct(F.abs("value"), "value")).alias("value"))
-    got = folded.toArrow()  # at most 4 * 2**TABLE_BITS rows, however large the corpus
-    flat = np.full(4 << TABLE_BITS, np.nan, dtype=np.float32)
-    flat[got["place"].to_numpy()] = got["value"].to_numpy()
-    parts = np.split(flat, 4)
-    return Ratios(parts[:2], parts[2:])
+def tables(ratios: DataFrame) -> Ratios | DataFrame:
+    """The ratios in memory, or as they are if there are more than ``HELD_RATIOS``."""
+    if ratios.count() > HELD_RATIOS:
+        return ratios
+    got = ratios.toArrow()
+    keys = got["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Ratios(keys[order], got["value"].to_numpy()[order])
 
 
 FEATURES = 5
 
 
+def describe(r: np.ndarray, chars: int) -> tuple[float, ...]:
+    """The features of a text of ``chars`` characters with these ratios of its words."""
+    r = np.sort(r)
+    telling = r[r > TELLING]
+    return r.sum() / chars, max(r[-1], 0.0), max(r[-3:].sum(), 0.0), np.log1p(len(telling)), telling.sum() / chars
+
+
 class Scorer:
     """Word ratios with a bounded cache, and the features of texts."""
 
@@ -219,11 +223,7 @@ class Scorer:
         for i, ws in enumerate(split):
             if not ws:
                 continue
-            r = np.array(list(map(known, ws)))
-            top = np.sort(r)[-3:]
-            telling = r[r > TELLING]
-            chars = len(texts[i])
-            out[i] = r.sum() / chars, max(top[-1], 0.0), max(top.sum(), 0.0), np.log1p(len(telling)), telling.sum() / chars
+            out[i] = describe(np.array(list(map(known, ws))), len(texts[i]))
         return out
 
 
@@ -257,7 +257,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
 
 @dataclass
 class ToxicityModel:
-    ratios: Ratios | None
+    ratios: Ratios | DataFrame | None
     weights: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -297,26 +297,95 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     return ToxicityModel(ratios, *fit_logistic(x[order], y[order]))
 
 
-def _features(df: DataFrame, ratios: Ratios) -> DataFrame:
+_FEATURE_FIELDS = ", ".join(f"f{i} double" for i in range(FEATURES))
+
+
+def _feature_columns(x: np.ndarray) -> list[pa.Array]:
+    return [pa.array(x[:, i]) for i in range(FEATURES)]
+
+
+def _features(df: DataFrame, ratios: Ratios | DataFrame) -> DataFrame:
     """(toxic, text) -> toxic, f0 .. f4."""
+    if isinstance(ratios, DataFrame):
+        return _with_features(df, "text", ratios).select("toxic", *(F.coalesce(f"__f.f{i}", F.lit(0.0)).alias(f"f{i}") for i in range(FEATURES)))
     shared = df.sparkSession.sparkContext.broadcast(PerWorker(Scorer, ratios))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         scorer = shared.value.get()
         x = np.vstack([scorer.features(part) for part in _slices(batch.column("text").to_pylist())])
-        return pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x[:, i]) for i in range(FEATURES))], names=["toxic", *(f"f{i}" for i in range(FEATURES))])
+        return pa.RecordBatch.from_arrays([batch.column("toxic"), *_feature_columns(x)], names=["toxic", *(f"f{i}" for i in range(FEATURES))])
+
+    return df.mapInArrow(per_batch(run), f"toxic int, {_FEATURE_FIELDS}")
 
-    return df.mapInArrow(per_batch(run), "toxic int, " + ", ".join(f"f{i} double" for i in range(FEATURES)))
+
+def _word_ratios(ws: DataFrame, ratios: DataFrame) -> DataFrame:
+    """word -> word, r: as ``Ratios.words``, by joins of the words' n-grams and contexts with the table of ratios."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        codes, lengths = grams(batch.column("word").to_pylist())
+        names = batch.column("word").take(pa.array(np.repeat(np.arange(batch.num_rows), lengths)))
+        at = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        keys = [pa.array(gram_keys(c).view(np.int64)) for c in (codes, codes[:, :-1])]
+        return pa.RecordBatch.from_arrays([names, pa.array(at), *keys], names=["word", "at", "gram", "context"])
+
+    parts = ws.mapInArrow(per_batch(run), "word string, at bigint, gram bigint, context bigint")
+    for c in ("gram", "context"):
+        parts = parts.join(ratios.select(F.col("key").alias(c), F.col("value").cast("double").alias(f"of_{c}")), c, "left")
+    part = F.struct("at", F.coalesce("of_gram", "of_context", F.lit(0.0)).alias("r"))
+    whole = parts.groupBy("word").agg(F.array_sort(F.collect_list(part)).alias("w"))
+    return whole.select("word", F.aggregate("w", F.lit(0.0), lambda acc, x: acc + x["r"]).alias("r"))
+
+
+def _with_features(df: DataFrame, text: str, ratios: DataFrame) -> DataFrame:
+    """``df`` with the features of its texts in the struct ``__f`` (null without words), no ratio leaving its partition.
+
+    128 bits and the length stand for a text; texts that repeat each other are described once.
+    """
+    whole = F.col(f"`{text}`")
+    key = F.struct(F.xxhash64(F.lit("score"), whole).alias("a"), F.xxhash64(F.lit("text"), whole).alias("b"), F.length(whole).alias("size"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, ws, n = [], [], []
+        for i, t in enumerate(batch.column("text").to_pylist()):
+            found = Counter(text_words(t))
+            rows += [i] * len(found)
+            ws += found.keys()
+            n += found.values()
+        keys = batch.column("key").take(pa.array(rows, pa.int64()))
+        return pa.RecordBatch.from_arrays([keys, pa.array(ws, pa.string()), pa.array(n, pa.int64())], names=["key", "word", "n"])
+
+    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x = np.zeros((batch.num_rows, FEATURES))
+        for i, (size, ws) in enumerate(zip(batch.column("size").to_pylist(), batch.column("ws").to_pylist(), strict=True)):
+            x[i] = describe(np.repeat([w["r"] for w in ws], [w["n"] for w in ws]), size)
+        return pa.RecordBatch.from_arrays([batch.column("key"), *_feature_columns(x)], names=["key", *(f"f{i}" for i in range(FEATURES))])
+
+    kind = "key struct<a: bigint, b: bigint, size: int>"
+    pairs = df.select(key.alias("key"), whole.alias("text")).mapInArrow(per_batch(run), f"{kind}, word string, n bigint")
+    pairs = checkpoint(pairs.groupBy("key", "word").agg(F.max("n").alias("n")))
+    scored = pairs.join(_word_ratios(pairs.select("word").distinct(), ratios), "word")
+    described = scored.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("r", "n"))).alias("ws")).select("key", "key.size", "ws")
+    described = described.mapInArrow(per_batch(features), f"{kind}, {_FEATURE_FIELDS}")
+    found = described.select(F.col("key").alias("__of"), F.struct(*(f"f{i}" for i in range(FEATURES))).alias("__f"))
+    return df.select("*", key.alias("__of")).join(found, "__of", "left").drop("__of")
 
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
     """``df`` with a score from 0 to 1 for the whole of each text; a null text counts as empty."""
-    shared = df.sparkSession.sparkContext.broadcast(PerWorker(Scorer, model.ratios))
     probabilities = replace(model, ratios=None).probabilities  # the tables go out once, in the broadcast
     names = [c for c in df.columns if c != out]
     hidden = fresh(df, "__score")
     source = df.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(hidden))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != hidden]
+    if isinstance(model.ratios, DataFrame):
+        packed_rows = source.select(packed(source, names).alias("rest"), F.col(hidden).alias("text"))
+        found = _with_features(packed_rows, "text", model.ratios)
+        x = [F.coalesce(f"__f.f{i}", F.lit(0.0)) for i in range(FEATURES)]
+        # the logistic of ``ToxicityModel.probabilities``, as a column
+        z = sum(((c - F.lit(float(m))) / F.lit(float(s)) * F.lit(float(w)) for c, m, s, w in zip(x, model.mean, model.scale, model.weights[:-1], strict=True)), F.lit(float(model.weights[-1])))
+        p = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+        return found.select(*[F.col(f"rest.`{c}`").alias(c) for c in names], p.alias(out))
+    shared = df.sparkSession.sparkContext.broadcast(PerWorker(Scorer, model.ratios))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         scorer = shared.value.get()

@@ -266,6 +266,22 @@ def test_every_training_row_counts(spark, monkeypatch):
     assert model.ratios.words(["wuxqzy", "vokkjh"]).min() > toxicity.TELLING
 
 
+def test_every_ratio_is_kept_at_every_size(spark, monkeypatch):
+    ratios = [("".join(map(chr, (300 + i % 977, 300 + i // 977, 97, 98, 99)))[: 5 - i % 2], float(i)) for i in range(20_000)]
+    stored = spark.createDataFrame(ratios, "gram string, value float").mapInArrow(toxicity.per_batch(toxicity._keyed), "key bigint, value float")
+    held = toxicity.tables(stored)
+    assert len(held.keys) == 20_000 and sorted(held.values.tolist()) == [float(i) for i in range(20_000)]
+    pick = random.Random(3)
+    word = lambda bad: ("zyx" if bad else "") + "".join(pick.choice(["ba", "do", "mi", "ru"]) for _ in range(3))
+    rows = [(i, " ".join(word(i % 4 == 0 and k < 2) for k in range(20))) for i in range(200)] + [(300, None), (301, "ba ba ba"), (302, "ba ba ba")]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    scores = []
+    for limit in (toxicity.HELD_RATIOS, 0):  # broadcast, joined
+        monkeypatch.setattr(toxicity, "HELD_RATIOS", limit)
+        scores.append({r.doc_id: r.score for r in toxicity.toxicity(frame(spark, rows), labels).collect()})
+    assert len(scores[0]) == 203 and scores[1] == pytest.approx(scores[0], abs=1e-9)
+
+
 def test_html_of_another_template(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html")
     model = html_extract.train(pages)
