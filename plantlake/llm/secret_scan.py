@@ -3,8 +3,9 @@
 Everything is a DataFrame expression.  A kind's matches are found with one regular expression; the text between two
 matches is extracted by a second one (anchored where the last match ended, so the rest is passed once), so lengths of gaps and matches give positions by a running sum.  Matches then
 become rows (text, kind, start, end).  An identifier, a secret and an endpoint belong together if they lie in one
-scope, here ``SCOPE`` code points to either side: an interval join of the parts of a text with themselves, computed as
-a range frame over their sorted starts, so no pairs are made.  A weak identifier is reported with a strong secret, or
+scope, here at most ``SCOPE`` code points between the end of one and the start of the next: an interval join of the
+parts of a text with themselves, computed from the last end of each kind among the parts that start before and its first
+start among those that start after, so no pairs are made.  A weak identifier is reported with a strong secret, or
 with a weak one and an endpoint; a weak secret likewise with an identifier; an endpoint with one of each.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import packed, sha256_hex
 
-SCOPE = 200  # code points between the starts of parts that belong together
+SCOPE = 200  # code points between parts that belong together, from the end of one to the start of the next
 MASK = "[SECRET]"
 
 # Fixed values of the contract, in the order in which kinds are listed.
@@ -90,8 +91,11 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         F.coalesce(F.min(F.when(base, F.col("start"))).over(later), F.col("end")) < F.col("end")
     )
     rows = rows.withColumn("covered", covered).where(F.col("kind").isNull() | base | ~F.col("covered"))
-    scope = Window.partitionBy("__row").orderBy("start").rangeBetween(-SCOPE, SCOPE)
-    near = {k: F.coalesce(F.max(F.col("kind") == i).over(scope), F.lit(False)) for i, k in enumerate(KINDS)}
+    before = Window.partitionBy("__row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("__row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = lambda i: F.max(F.when(F.col("kind") == i, F.col("end"))).over(before) >= F.col("start") - SCOPE
+    begins = lambda i: F.min(F.when(F.col("kind") == i, F.col("start"))).over(after) <= F.col("end") + SCOPE
+    near = {k: F.coalesce(ended(i), F.lit(False)) | F.coalesce(begins(i), F.lit(False)) for i, k in enumerate(KINDS)}
     rows = rows.withColumns({f"near_{k}": c for k, c in near.items()})
     an_id, a_secret = F.col("near_access"), F.col("near_assign") | F.col("near_hex")
     both_weak = F.col("near_weak_id") & F.col("near_weak_secret") & F.col("near_endpoint")

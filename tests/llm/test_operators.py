@@ -166,6 +166,18 @@ def test_secrets_equal_brute_force_and_weak_parts_need_each_other(spark):
     assert masked[5] == "id [SECRET] then [SECRET] at [SECRET]" and masked[4] == weak and masked[0] is None
 
 
+def test_weak_parts_are_in_scope_after_a_long_secret_too(spark):
+    weak, long_hex = "AB12CD34EF56GH78", "0123456789abcdef" * 40
+    texts = [f"{weak} {long_hex}", f"{long_hex} {weak}", f"{long_hex}{' ' * 200}{weak}", f"{long_hex}{' ' * 201}{weak}", f"{weak}{' ' * 201}{long_hex}"]
+    texts += [f"{weak} x {'aB3' * 100} x https://x.example/y", f"https://x.example/{'y' * 300} {'aB3' * 100} {weak}"]
+    got = {r.doc_id: [s.kind_name for s in r.spans] for r in secret_scan.find_spans(frame(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(3)] == [["weak_id", "hex"], ["hex", "weak_id"], ["hex", "weak_id"]]
+    assert got[3] == got[4] == ["hex"]
+    assert got[5] == got[6] == ["weak_secret"]  # it has both others in its scope; they are too far from each other
+    masked = {r.doc_id: r.text for r in secret_scan.redact(frame(spark, [(1, texts[1])])).collect()}
+    assert masked[1] == "[SECRET] [SECRET]"
+
+
 def test_urls_equal_the_definition(spark):
     hosts = ["org", "example.org", "a.example.org", "badexample.org", "x.com", "com", "fr.com", "EXAMPLE.ORG", ""]
     paths = ["", "/", "/es/1", "/en/1", "/en/12?q=/de/", "/fr/", "/de/x#y", "/d", "?q"]
