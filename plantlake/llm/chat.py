@@ -117,12 +117,15 @@ def digest(rendered: DataFrame) -> DataFrame:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """Each row of a finished conversation as one delta, its turn being its place in the sequence."""
-    return conversations.select(
+    """Each row of a finished conversation as one delta of a turn of its own: its place by turn, role and text.
+
+    Rows that tie or repeat each other stay apart; null turns come first.
+    """
+    rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
-        F.col("turn").cast("long").alias("seq"),
-        F.lit("delta").alias("kind"),
         F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"),
         F.col("text").cast("string").alias("text"),
     )
+    place = (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")) - 1).cast("long")
+    return rows.withColumn("seq", place).select("conv_id", "seq", F.lit("delta").alias("kind"), F.col("seq").alias("turn"), "role", "text")

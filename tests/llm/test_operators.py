@@ -214,6 +214,15 @@ def test_chat_folds_events_and_reads_back(spark):
         assert (r.n_turns, r.loss_chars, r.loss_sha256) == (len(rows), len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
+def test_rows_that_share_a_turn_stay_messages_of_their_own(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "assistant", "a"), (1, 1, "user", "c"), (1, 1, "user", "c"), (1, None, "system", "z"), (1, None, "assistant", "y"), (2, None, "user", None)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    back = {r.conv_id: r for r in chat.read_back(chat.render(chat.fold_events(chat.events_of(table)))).collect()}
+    assert [tuple(t) for t in back[1].turns] == [("assistant", "y"), ("system", "z"), ("assistant", "a"), ("user", "b"), ("user", "c"), ("user", "c")]
+    assert back[1].loss_texts == ["y", "a"]
+    assert [tuple(t) for t in back[2].turns] == [("user", "")]
+
+
 def test_quality_counts_equal_brute_force(spark, corpus):
     line = "a b c d e f g h"
     rows = [*corpus, (900, f"{line}\n{line}\n \n{line} x\n\t"), (901, "# * $ <>" + " z" * 40), (902, "\n" + line + "\n\n" + line)]
