@@ -34,6 +34,7 @@ TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg math iframe object canvas video audio select textarea title head".split())
 UNPARSED = frozenset("script style textarea title".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img input button".split()
 )
@@ -95,7 +96,11 @@ def _attribute_bits(attributes: str) -> int:
 
 
 def parse(source: str) -> Page:
-    """Lenient parse: unclosed and misplaced tags are repaired by nesting rules, whatever is cut off ends where the page does."""
+    """Lenient parse: unclosed and misplaced tags are repaired by nesting rules, whatever is cut off ends where the page does.
+
+    A head ends at the first tag or text that cannot stand in one.  Another skipped element without an end tag ends with
+    the block that it is in, or, outside all blocks, where the next block begins.
+    """
     page = Page([-1], ["html"], [0], [None], [0], [0])
     stack = [0]  # open block elements
     pieces: list[str] = []
@@ -125,15 +130,33 @@ def parse(source: str) -> Page:
             if tag in within:
                 return
 
+    unclosed: dict[str, set[int]] = {}
+
+    def is_unclosed(name: str, start: int) -> bool:
+        """Whether the tag at ``start`` has no end tag, when those of this name are paired from the inside."""
+        if name not in unclosed:
+            opened: list[int] = []
+            for t in re.finditer(f"<(/?){name}(?=[\\s/>])[^>]*(/?)>", source, re.I):
+                if t[1]:
+                    del opened[-1:]
+                elif not t[0].endswith("/>"):
+                    opened.append(t.start())
+            unclosed[name] = set(opened)
+        return start in unclosed[name]
+
     at, skip_until = 0, None
+    bare = False  # skipping an element without an end tag, in which ``inside`` blocks are open
+    inside: list[str] = []
     scan = _TOKENS.search
     while True:
         m = scan(source, at)
         if m is None:
             rest = source[at:]
-            if rest and skip_until is None:
+            if rest and skip_until in (None, "head"):
                 pieces.append(rest)
             break
+        if skip_until == "head" and m.start() > at and not source[at : m.start()].isspace():
+            skip_until = None
         if m.start() > at and skip_until is None:
             piece = source[at : m.start()]
             pieces.append(piece)
@@ -146,12 +169,28 @@ def parse(source: str) -> Page:
         name = name.lower()
         closing = m[1] == "/"
         if skip_until is not None:
-            if closing and name == skip_until or skip_until == "head" and name in ("body", "/head"):
+            in_block = bare and len(stack) > 1
+            if closing and name == skip_until and not bare or skip_until == "head" and name in ("body", "/head"):
                 skip_until = None
                 if closing or name != "body":
                     continue
+            elif skip_until == "head" and not closing and name not in IN_HEAD:
+                skip_until = None
+            elif in_block and closing and name not in inside and any(page.tag[k] == name for k in stack):
+                skip_until = None
+            elif bare and not in_block and not closing and name in ENDS_PARAGRAPH:
+                skip_until = None
             else:
+                if skip_until == "head" and not closing and name in ("noscript", "template") and not is_unclosed(name, m.start()):
+                    end = re.compile(f"</{name}[^>]*>?", re.I).search(source, at)
+                    at = end.end() if end else at
+                    continue
+                if in_block and name in inside and closing:
+                    del inside[len(inside) - 1 - inside[::-1].index(name) :]
+                elif in_block and not closing and name not in VOID and not m[0].endswith("/>"):
+                    inside.append(name)
                 if not closing and name in UNPARSED:
+                    inside = [x for x in inside if x != name]
                     end = re.compile(f"</{name}", re.I).search(source, at)
                     at = end.start() if end else len(source)
                 continue
@@ -161,7 +200,8 @@ def parse(source: str) -> Page:
                     end = re.compile(f"</{name}[^>]*>?", re.I).search(source, at)
                     at = end.end() if end else len(source)
                 else:
-                    skip_until = name
+                    skip_until, inside = name, []
+                    bare = name != "head" and is_unclosed(name, m.start())
             pieces.append(" ")
             continue
         if name in INLINE:

@@ -319,6 +319,26 @@ def test_html_of_another_template(spark):
         assert r.text == html_extract.kept_text(p, html_extract.teacher(p))
 
 
+@pytest.mark.parametrize("skipped", "svg math object video audio canvas select iframe template noscript".split())
+def test_unclosed_elements_end_with_their_block(skipped):
+    def texts(page):
+        return [t for t in html_extract.parse(page).text if t is not None]
+
+    assert texts(f"<body><div>a<{skipped}><p>x</p> y</div><p>b</p><{skipped}>z</{skipped}><p>c</p></body>") == ["a", "b", "c"]
+    assert texts(f"<body>a <{skipped}> x <div>b</div><p>c") == ["a", "b", "c"]
+    assert texts(f"<body><div>a<{skipped}><div>x</div></{skipped}>b</div>c") == ["a b", "c"]
+
+
+def test_head_without_end_tag():
+    def texts(page):
+        return [t for t in html_extract.parse(page).text if t is not None]
+
+    assert texts("<html><head><title>t</title><meta a=b><article><p>a</p></article>") == ["a"]
+    assert texts("<html><head><script>x</script><noscript><p>y</p></noscript><style>z</style>a<p>b") == ["a", "b"]
+    assert texts("<head><title>t</title> a") == ["a"]
+    assert texts("<html><head><title>t</title><link><template><p>x</p></template></head><body><p>a") == ["a"]
+
+
 def test_dropped_nodes_take_their_subtrees_along():
     parent = [-1, 0, 1, 1, 0]
     assert html_extract.decode(parent, np.array([0, -5, 1, 1, 2.0])) == [True, False, False, False, True]
