@@ -4,9 +4,9 @@ Suffixes are kept only where a text's content selects them: at the least hash of
 ``MIN_WORDS - SEED + 1`` neighbouring ones (minimisers), so any two texts that share ``MIN_WORDS`` words keep a suffix at
 the same place of the shared passage.  Suffixes whose first ``SEED`` words occur nowhere else are dropped by an
 aggregated count.  The others, with the words that follow and precede them, are range-sorted by content over all
-partitions, and each is compared with its nearest neighbours from other texts in that order: the match is
-extended right and left, and spans of ``MIN_WORDS`` words or more are kept.  Where two partitions meet, the runs at
-the seam are compared once more.
+partitions.  Every passage of ``MIN_WORDS`` words around the first words of a suffix is hashed, and it is kept if another
+text has it too, so the result does not hang on which suffixes are neighbours.  Suffixes with the same first words stand
+together and are decided where they are; where they may go on beyond a batch, the passages are counted by Spark.
 Longer passages are covered by the overlapping spans of their suffixes, which are merged at the end.
 """
 
@@ -16,15 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpoint, per_batch
-from .wordhash import Words, words
+from .wordhash import Words, mix, words
 
 MIN_WORDS = 50
 SEED = 24
+_COEFFICIENTS = np.random.default_rng(20240301).integers(1, 2**63, (2, MIN_WORDS - SEED), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BY_PLACE = np.random.default_rng(20240302).integers(1, 2**63, MIN_WORDS - SEED + 1, dtype=np.uint64)  # tells apart how many words stand before
 
 
 def minimisers(hashes: np.ndarray, span: int) -> np.ndarray:
@@ -101,30 +102,43 @@ def _contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How many leading words two rows of contexts share (a missing word ends the match)."""
-    differ = (x != y) | (x == 0)
-    return np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
-
-
-def _compare(t: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """Spans of sorted suffixes against the nearest ones before and after them that belong to another text."""
-    key, right, left, ids, at = t["key"], t["right"], t["left"], t["id"], t["at"]
-    n = len(key)
-    run = np.concatenate([[0], np.cumsum((ids[1:] != ids[:-1]) | (key[1:] != key[:-1]))])
-    first = np.searchsorted(run, run, side="left")
-    after = np.searchsorted(run, run, side="right")
-    a, b = np.concatenate([np.arange(n), np.arange(n)]), np.concatenate([first - 1, after])
-    ok = (b >= 0) & (b < n)
-    a, b = a[ok], b[ok]
-    ok = (key[a] == key[b]) & (ids[a] != ids[b])
-    a, b = a[ok], b[ok]
-    after_seed, before = _shared(right[a], right[b]), _shared(left[a], left[b])
-    ok = after_seed + before + SEED >= MIN_WORDS
-    a, b, after_seed, before = a[ok], b[ok], after_seed[ok], before[ok]
-    one = [ids[a], at[a] - before, at[a] + SEED + after_seed, ids[b]]
-    two = [ids[b], at[b] - before, at[b] + SEED + after_seed, ids[a]]
-    return [np.concatenate([x, y]) for x, y in zip(one, two, strict=True)]
+def _window_hashes(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the passages of ``MIN_WORDS`` words with 0, 1, .. words before the seed, and which of them exist."""
+    side = MIN_WORDS - SEED
+    n = len(t["key"])
+    before, after = (np.zeros((n, side + 1), np.uint64) for _ in range(2))
+    for sums, words_, coefficients in ((before, t["left"], _COEFFICIENTS[0]), (after, t["right"], _COEFFICIENTS[1])):
+        np.cumsum(mix(words_.astype(np.uint64)) * coefficients, axis=1, out=sums[:, 1:])
+    whole = mix(t["key"].view(np.uint64)[:, None] + before + after[:, ::-1] + _BY_PLACE)
+    there = [np.hstack([np.ones((n, 1), bool), np.logical_and.accumulate(t[c] != 0, axis=1)]) for c in ("left", "right")]
+    return whole, there[0] & there[1][:, ::-1]
+
+
+def _spans(t: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """One span for each suffix with passages that another text in ``t`` has: id, start, stop, least id of the others."""
+    hashes, there = _window_hashes(t)
+    row, words_before = np.nonzero(there)
+    hashes, ids = hashes[there], t["id"][row]
+    order = np.lexsort([ids, hashes])
+    h, i = hashes[order], ids[order]
+    new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    least = i[new]
+    other_id = i != least[group]
+    second = np.full(len(least), np.iinfo(np.int64).max)
+    np.minimum.at(second, group[other_id], i[other_id])
+    found = np.zeros(len(least), bool)
+    found[group[other_id]] = True
+    ok = found[group]
+    partner = np.where(other_id, least[group], second[group])[ok]
+    row, words_before = row[order][ok], words_before[order][ok]
+    n, side = len(t["key"]), MIN_WORDS - SEED
+    most, fewest, other = np.full(n, -1), np.full(n, side + 1), np.full(n, np.iinfo(np.int64).max)
+    np.maximum.at(most, row, words_before)
+    np.minimum.at(fewest, row, words_before)
+    np.minimum.at(other, row, partner)
+    hit = most >= 0  # the passages of a suffix all hold its seed, so together they are one span
+    return [t["id"][hit], (t["at"] - most)[hit], (t["at"] - fewest)[hit] + MIN_WORDS, other[hit]]
 
 
 def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
@@ -137,61 +151,45 @@ def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
 _FIELDS = ("key", "right", "left", "id", "at")
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One sorted partition: spans, and as ``seam`` rows the suffixes at both of its ends."""
-
-    def spans(found: list[np.ndarray]) -> pa.RecordBatch:
-        n = len(found[0])
-        none = [pa.nulls(n, t) for t in (pa.int64(), pa.binary(), pa.binary())]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found[0]), pa.array(found[1].astype(np.int32)), pa.array(found[2].astype(np.int32)), pa.array(found[3]), *none, pa.array(np.zeros(n, bool))],
-            names=["id", "start", "stop", "other", "key", "right", "left", "seam"],
-        )
-
-    def seam(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.num_rows
-        return pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("at"), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), batch.column("key"), batch.column("right"), batch.column("left"), pa.array(np.ones(n, bool))],
-            names=["id", "start", "stop", "other", "key", "right", "left", "seam"],
-        )
-
-    def edge(batch: pa.RecordBatch, head: bool) -> pa.RecordBatch:
-        """From an end up to the first suffix of another text."""
-        ids, n = batch.column("id").to_numpy(zero_copy_only=False), batch.num_rows
-        differ = np.flatnonzero(ids != (ids[0] if head else ids[-1]))
-        if not len(differ):
-            return batch
-        return batch.slice(0, int(differ[0]) + 1) if head else batch.slice(int(differ[-1]))
-
-    carried, started = None, False
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted batches: spans of the suffixes whose equals are all in the batch, and as ``open`` rows the other suffixes."""
+    names = ["id", "start", "stop", "other", "key", "right", "left", "open"]
     for batch in batches:
         if not batch.num_rows:
             continue
         batch = batch.select(_FIELDS)
-        if not started:
-            yield seam(edge(batch, True))
-            started = True
-        both = pa.Table.from_batches([carried, batch]).combine_chunks().to_batches()[0] if carried is not None else batch
-        found = _compare(_columns(both))
-        if len(found[0]):
-            yield spans(found)
-        carried = edge(both, False)
-    if carried is not None:
-        yield seam(carried)
+        key = batch.column("key").to_numpy(zero_copy_only=False)
+        edge = (key == key[0]) | (key == key[-1])
+        at_edge, within = batch.filter(pa.array(edge)), batch.filter(pa.array(~edge))
+        n = at_edge.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [at_edge.column("id"), at_edge.column("at"), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), *(at_edge.column(c) for c in ("key", "right", "left")), pa.array(np.ones(n, bool))],
+            names=names,
+        )
+        if within.num_rows:
+            found = _spans(_columns(within))
+            n = len(found[0])
+            none = [pa.nulls(n, t) for t in (pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[0]), pa.array(found[1].astype(np.int32)), pa.array(found[2].astype(np.int32)), pa.array(found[3]), *none, pa.array(np.zeros(n, bool))],
+                names=names,
+            )
 
 
-def _seam_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for out in _neighbours(batches):
-        out = out.filter(pa.compute.invert(out.column("seam")))
-        if out.num_rows:
-            yield out.select(["id", "start", "stop", "other"])
+def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """key, right, left, id, at -> hash, id, start of every passage of ``MIN_WORDS`` words."""
+    t = _columns(batch)
+    hashes, there = _window_hashes(t)
+    row, words_before = np.nonzero(there)
+    start = (t["at"][row] - words_before).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(hashes[there].view(np.int64)), pa.array(t["id"][row]), pa.array(start)], names=["hash", "id", "start"])
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages of ``MIN_WORDS`` words or more that a text shares with another one.
 
     One row for each maximal span of a text: id, first and last word (``start``, ``stop``: exclusive), ``n_words`` and
-    the least id among the partners found.  Words are compared in lower case.  Null ids, null, empty and shorter texts
+    the least id among all partners.  Words are compared in lower case.  Null ids, null, empty and shorter texts
     give no rows; rows that repeat an id are one text to each other, so they match other ids only.
     """
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -199,12 +197,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     shared = found.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     places = found.join(shared, "key").groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("places"))
     suffixes = source.join(places, "id").mapInArrow(per_batch(_contexts), "key bigint, right binary, left binary, id bigint, at int")
-    schema = "id bigint, start int, stop int, other bigint, key bigint, right binary, left binary, seam boolean"
+    schema = "id bigint, start int, stop int, other bigint, key bigint, right binary, left binary, open boolean"
     ordered = suffixes.repartitionByRange("key", "right", "left", "id", "at").sortWithinPartitions("key", "right", "left", "id", "at")
-    compared = checkpoint(ordered.mapInArrow(_neighbours, schema))
-    seams = compared.where("seam").select("key", "right", "left", "id", F.col("start").alias("at")).distinct()
-    ends = seams.coalesce(1).sortWithinPartitions("key", "right", "left", "id", "at").mapInArrow(_seam_spans, "id bigint, start int, stop int, other bigint")
-    spans = compared.where("not seam").select("id", "start", "stop", "other").unionByName(ends)
+    decided = checkpoint(ordered.mapInArrow(_decided, schema))
+    rest = decided.where("open").select("key", "right", "left", "id", F.col("start").alias("at"))
+    windows = rest.mapInArrow(per_batch(_windows), "hash bigint, id bigint, start int")
+    # the two least ids of each passage; the limit on the rank is applied before the shuffle, too
+    rank = F.dense_rank().over(Window.partitionBy("hash").orderBy("id"))
+    two = windows.select("hash", "id").withColumn("rank", rank).where("rank <= 2").groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b")
+    marked = windows.join(two, "hash").select("id", "start", (F.col("start") + MIN_WORDS).alias("stop"), F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
+    spans = decided.where("not open").select("id", "start", "stop", "other").unionByName(marked)
     spans = spans.groupBy("id", "start", "stop").agg(F.min("other").alias("other"))
     before = Window.partitionBy("id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     so_far = Window.partitionBy("id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)

@@ -119,6 +119,48 @@ def test_suffixes_find_repeated_passages_and_nothing_else(spark):
     assert suffix_dedup.repeated_passages(frame(spark, []).limit(0)).count() == 0
 
 
+def exhaustive_passages(rows, n):
+    """Every window of n words with every other text that has it, as merged spans."""
+    has = {}
+    for i, t in rows:
+        w = tokens(t)
+        for k in range(len(w) - n + 1):
+            has.setdefault(tuple(w[k : k + n]), []).append((i, k))
+    out = set()
+    for i in {i for i, _ in rows}:
+        spans = sorted((k, k + n, min(j for j, _ in at if j != i)) for at in has.values() if len({j for j, _ in at}) > 1 for j, k in at if j == i)
+        merged = []
+        for start, stop, other in spans:
+            if merged and start <= merged[-1][1]:
+                merged[-1] = [merged[-1][0], stop, min(other, merged[-1][2])]
+            else:
+                merged.append([start, stop, other])
+        out |= {(i, *m) for m in merged}
+    return out
+
+
+@pytest.mark.parametrize("batch", [10_000, 16])
+def test_suffixes_equal_an_exhaustive_search(spark, batch):
+    pick = random.Random(12)
+    some = lambda n: ["".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for _ in range(6):  # two texts share 54 words, many others 34 of these
+        left, common = some(20), some(34)
+        texts += [some(30) + left + common + some(30), some(9) + left + common + some(40)]
+        texts += [some(20) + common + some(30) for _ in range(12)]
+    for _ in range(4):  # edited copies
+        base = some(200)
+        texts += [[w if pick.random() > 0.02 else some(1)[0] for w in base] for _ in range(12)]
+    pick.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = {(r.doc_id, r.start, r.stop, r.other_doc_id) for r in suffix_dedup.repeated_passages(frame(spark, rows)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == exhaustive_passages(rows, suffix_dedup.MIN_WORDS)
+
+
 def test_leaks_whole_reordered_and_none(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen".split()
     bench = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, ""), (4, "alpha beta")], "item_id bigint, text string")
