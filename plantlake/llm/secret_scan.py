@@ -28,7 +28,7 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 # Weak parts: nothing is reported for them alone.
 WEAK_ID = r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,40}(?![A-Za-z0-9])"
 WEAK_SECRET = r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{32,}={0,2}"
-ENDPOINT = r"""[a-z][a-z0-9+.-]*://[^\s"'<>]+"""
+ENDPOINT = r"""[a-z][a-z0-9+.-]{0,31}://[^\s"'<>]+"""  # a scheme has a bound, so a long run of letters stays linear
 
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
 BASE = 3  # the first kinds are reported wherever they are
@@ -57,7 +57,8 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the text, one row per input row, with ``n_assign``, ``n_access``, ``n_hex`` and ``spans``.
 
     ``spans`` is array<struct<start, kind, kind_name, end>> sorted by start and kind, in code points, ends exclusive.
-    A null or empty text has none; rows that repeat each other are kept apart; other columns pass through.
+    A null or empty text has none, nor has one whose candidates all fail; rows that repeat each other are kept apart.
+    Other columns pass through, but one called like an output is replaced.  An empty table gives an empty result.
     """
     names = [c for c in docs.columns if c not in (text, "n_assign", "n_access", "n_hex", "spans")]
     source = docs.select(packed(docs, names).alias("__rest"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"))
@@ -83,7 +84,7 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = source.select("__row", "__rest", F.explode_outer(parts).alias("p")).select("__row", "__rest", "p.*").repartition("__row")
     running = Window.partitionBy("__row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(running)).withColumn("start", F.col("end") - F.col("size"))
-    rows = rows.where(F.col("kind").isNull() | F.col("ok"))
+    rows = rows.withColumn("kind", F.when(F.col("ok"), F.col("kind")))  # a failing match keeps its row, so its text stays
     base = F.col("kind") < BASE
     earlier = Window.partitionBy("__row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy("__row").orderBy("start", "kind").rowsBetween(1, Window.unboundedFollowing)

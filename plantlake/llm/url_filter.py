@@ -22,14 +22,20 @@ SAMPLE = 20_000  # keys that the bounds are taken from
 DEFAULT = "allow"  # verdict where no rule fits
 
 
+def after_scheme(url: Column) -> Column:
+    """What follows the first ``://``; empty without one."""
+    at = F.instr(url, "://")
+    return F.coalesce(F.when(at > 0, url.substr(at + 3, F.length(url))), F.lit(""))
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case; empty without one."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
-    return F.coalesce(F.translate(rest, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
+    return F.translate(F.regexp_extract(after_scheme(url), r"^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """From the ``/`` that ends the host up to ``?``, ``#`` or the end; empty where none follows the host."""
+    return F.regexp_extract(after_scheme(url), r"^[^/?#]*(/[^?#]*)", 1)
 
 
 def host_key(host: Column) -> Column:
