@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, html_extract, near_dup, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
+from . import bpe, chat, decontamination, html_extract, near_dup, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, url_filter
 from .common import sha256_hex, table
 
 #: Where the public vocabulary files are; a parameter of the queries that need one.
@@ -85,6 +85,17 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n=3, num=85, den=100)
 
 
+#: A document of more tokens is over the limit.
+TOKEN_LIMIT = 512
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", size)
+    counted = token_counts.count_tokens(docs, bpe.load(vocabulary_path("byte_bpe_50k.json")))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_html_extraction": op2_html_extraction,
@@ -96,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_minhash_near_dup": op10_minhash_near_dup,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE: dict[str, str] = {}

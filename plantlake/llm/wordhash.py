@@ -58,6 +58,7 @@ class _Powers:
 
 
 _POWERS = _Powers()
+powers = _POWERS.upto
 
 
 @dataclass
