@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, html_extract, near_dup, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, url_filter
+from . import bpe, chat, decontamination, html_extract, near_dup, oracle, prefix_trie, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, url_filter
 from .common import sha256_hex, table
 
 #: Where the public vocabulary files are; a parameter of the queries that need one.
@@ -96,6 +96,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(convs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_html_extraction": op2_html_extraction,
@@ -108,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_minhash_near_dup": op10_minhash_near_dup,
     "op12_token_counts": op12_token_counts,
+    "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_conversation_prefix_trie": oracle.PREFIX_TRIE,
+}
