@@ -7,6 +7,29 @@ CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
     lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
     lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b) ELSE xor(crc // 2, 3988292384::BIGINT * (crc % 2)) END))"""
 
+#: The terms of ``text``.
+TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED_SEARCH = f"""
+WITH docs AS (SELECT row_number() OVER () AS doc, doc_id, {TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+stats AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0),
+items AS (SELECT row_number() OVER () AS item, item_id, {TERMS} AS terms FROM benchmark WHERE text IS NOT NULL),
+wanted AS (SELECT item, term, count(*) AS times FROM (SELECT item, unnest(terms) AS term FROM items) GROUP BY item, term),
+held AS (
+    SELECT doc, doc_id, n, term, count(*) AS tf FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY doc, doc_id, n, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM held, stats GROUP BY term, n_docs
+), scored AS (
+    SELECT item, doc, any_value(doc_id) AS doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM wanted JOIN held USING (term) JOIN weights USING (term), stats GROUP BY item, doc
+), ranked AS (
+    SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN items USING (item) WHERE rank <= 20
+"""
+
 PREFIX_TRIE = f"""
 WITH own AS (
     SELECT conv_id, list(struct_pack(role := coalesce(role, ''), said := coalesce(text, '')) ORDER BY turn NULLS FIRST, role, text) AS turns

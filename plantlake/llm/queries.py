@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, html_extract, near_dup, oracle, prefix_trie, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, url_filter
+from . import bpe, chat, decontamination, html_extract, lexical_search, near_dup, oracle, prefix_trie, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity, url_filter
 from .common import sha256_hex, table
 
 #: Where the public vocabulary files are; a parameter of the queries that need one.
@@ -85,6 +85,10 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n=3, num=85, den=100)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: A document of more tokens is over the limit.
 TOKEN_LIMIT = 512
 
@@ -112,10 +116,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_minhash_near_dup": op10_minhash_near_dup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_token_counts": op12_token_counts,
     "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_ranked_search": oracle.RANKED_SEARCH,
     "op13_conversation_prefix_trie": oracle.PREFIX_TRIE,
 }

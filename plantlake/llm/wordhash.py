@@ -24,6 +24,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _PUNCTUATED = _SPACE.copy()
 _PUNCTUATED[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+#: Everything but ASCII letters and digits and the bytes of other characters separates.
+TERM_BREAKS = np.zeros(256, dtype=bool)
+TERM_BREAKS[[b for b in range(128) if not chr(b).isalnum()]] = True
 _BASE = 0x9E3779B97F4A7C13 | 3
 _COMBINE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -115,10 +118,14 @@ def row_chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tupl
         first = last
 
 
-def words(texts: pa.Array, fold: bool = True, punctuation: bool = True, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
-    """The words of every row; with ``fold`` A-Z hash as a-z, without ``punctuation`` ASCII punctuation ends words too."""
+def words(texts: pa.Array, fold: bool = True, punctuation: bool = True, chunk_bytes: int = CHUNK_BYTES, separates: np.ndarray | None = None) -> Iterator[Words]:
+    """The words of every row; with ``fold`` A-Z hash as a-z, without ``punctuation`` ASCII punctuation ends words too.
+
+    ``separates`` gives for each byte whether it ends words, in place of these two sets.
+    """
     table = _FOLDED if fold else _BYTE
-    separates = _SPACE if punctuation else _PUNCTUATED
+    if separates is None:
+        separates = _SPACE if punctuation else _PUNCTUATED
     for first, data, rows in row_chunks(texts, chunk_bytes):
         n = len(data)
         inside = np.zeros(n + 2, dtype=bool)
