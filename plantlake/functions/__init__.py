@@ -1,5 +1,6 @@
 """Column-level building blocks: time grid, stable rounding, measures, JSON unpacking."""
 
+from plantlake.functions.exactsum import exact_avg, exact_sum
 from plantlake.functions.jsoncols import JsonUnpack, unpack
 from plantlake.functions.measures import Measure, avg, delta, high, low, mean, total
 from plantlake.functions.rounding import stable_round
@@ -12,6 +13,8 @@ __all__ = [
     "bucket_start",
     "day_of",
     "delta",
+    "exact_avg",
+    "exact_sum",
     "high",
     "hour_start",
     "low",

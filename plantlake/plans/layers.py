@@ -7,7 +7,7 @@ one plan (fused), and fed from catalog tables they reproduce the layer-by-layer
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -15,12 +15,12 @@ from plantlake.operators.daily_join import day_join
 from plantlake.plans.plant import Plant, Step, joined_output
 
 
-def build_step(step: Step, inputs: dict[str, DataFrame], ordered: bool = False) -> DataFrame:
+def build_step(step: Step, inputs: Mapping[str, DataFrame], ordered: bool = False) -> DataFrame:
     return step.spec.build(inputs[step.source], ordered=ordered)
 
 
 def _frames(
-    steps: Iterable[Step], inputs: dict[str, DataFrame], only: Iterable[str] | None, ordered: bool
+    steps: Iterable[Step], inputs: Mapping[str, DataFrame], only: Iterable[str] | None, ordered: bool
 ) -> dict[str, DataFrame]:
     wanted = None if only is None else set(only)
     return {
@@ -31,18 +31,18 @@ def _frames(
 
 
 def silver_frames(
-    plant: Plant, bronze: dict[str, DataFrame], only: Iterable[str] | None = None, ordered: bool = False
+    plant: Plant, bronze: Mapping[str, DataFrame], only: Iterable[str] | None = None, ordered: bool = False
 ) -> dict[str, DataFrame]:
     return _frames(plant.silver, bronze, only, ordered)
 
 
 def gold_frames(
-    plant: Plant, silver: dict[str, DataFrame], only: Iterable[str] | None = None, ordered: bool = False
+    plant: Plant, silver: Mapping[str, DataFrame], only: Iterable[str] | None = None, ordered: bool = False
 ) -> dict[str, DataFrame]:
     return _frames(plant.gold, silver, only, ordered)
 
 
-def joined_frame(plant: Plant, gold: dict[str, DataFrame]) -> DataFrame:
+def joined_frame(plant: Plant, gold: Mapping[str, DataFrame]) -> DataFrame:
     return day_join(gold, plant.joined_sides, joined_output())
 
 
@@ -50,7 +50,7 @@ def joined_inputs(plant: Plant) -> list[str]:
     return [s.table for s in plant.joined_sides]
 
 
-def fused_daily_balance(plant: Plant, bronze: dict[str, DataFrame]) -> DataFrame:
+def fused_daily_balance(plant: Plant, bronze: Mapping[str, DataFrame]) -> DataFrame:
     """bronze -> silver -> gold -> joined table in one plan; only the five needed streams are built."""
     needed = joined_inputs(plant)
     silver_needed = [plant.gold_step(t).source for t in needed]

@@ -185,6 +185,7 @@ def oracle_queries() -> dict[str, str]:
         "gold_forecast": gold_sql("prediccion_meteo"),
         "daily_balance": daily_balance_sql(),
         "silver_pcs_lineitem": lineitem_sql("pcs"),
+        "silver_pcs_exact": lineitem_sql("pcs"),
         "gold_meter_lineitem": lineitem_sql("aarr", gold=True),
         "view_sql": silver_sql("aarr"),
         "bronze_extract_and": "SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_suppkey = 1",

@@ -113,7 +113,13 @@ def plant_specs(
     emi_keys: tuple[str, ...] = EMI_JSON_KEYS,
     strings: tuple[str, ...] | None = None,
     with_market_prices: bool = False,
+    silver_sums: str = "plain",
 ) -> Plant:
+    """The specs of one site.
+
+    The daily facts add with order-free sums: their inputs are small, and a refresh then repeats to the last bit.
+    ``silver_sums="exact"`` makes the quarter-hour means do so too.
+    """
     strings = strings or string_keys()
     site_eq = f"instalacion = {int(site)}"
     bronze = [
@@ -125,31 +131,35 @@ def plant_specs(
         bronze.append(Extract("omie", "omie", None, split_by=None))
 
     dev = ("equipo",)
+
+    def mean_(source: str, name: str | None = None):
+        return mean(source, name, sums=silver_sums)
+
     silver = (
-        Step("aarr", "aarr", Rollup("aarr", (mean("pa"), delta("ea_import"), delta("ea_export")))),
+        Step("aarr", "aarr", Rollup("aarr", (mean_("pa"), delta("ea_import"), delta("ea_export")))),
         Step(
             "inversor",
             "inversor",
             Rollup(
                 "inversor",
-                (mean("pa"), mean("regulacion"), delta("ea_diaria", "ea_gen")),
+                (mean_("pa"), mean_("regulacion"), delta("ea_diaria", "ea_gen")),
                 by=dev,
             ),
         ),
         Step(
             "logger",
             "logger",
-            Rollup("logger", (mean("pa", "pa_gen"), mean("pa_bat"), delta("ea_diaria", "ea_gen"))),
+            Rollup("logger", (mean_("pa", "pa_gen"), mean_("pa_bat"), delta("ea_diaria", "ea_gen"))),
         ),
         Step(
             "variador",
             "variador",
-            Rollup("variador", (mean("pa_motor", "pa"), mean("frec_motor", "frecuencia")), by=dev),
+            Rollup("variador", (mean_("pa_motor", "pa"), mean_("frec_motor", "frecuencia")), by=dev),
         ),
         Step(
             "pcs",
             "pcs",
-            Rollup("pcs", (mean("pa"), delta("ea_import"), delta("ea_export")), by=dev),
+            Rollup("pcs", (mean_("pa"), delta("ea_import"), delta("ea_export")), by=dev),
         ),
         Step(
             "bateria",
@@ -157,8 +167,8 @@ def plant_specs(
             Rollup(
                 "bateria",
                 (
-                    mean("pa"),
-                    mean("soc"),
+                    mean_("pa"),
+                    mean_("soc"),
                     delta("ea_import_hoy", "ea_carga"),
                     delta("ea_export_hoy", "ea_descarga"),
                 ),
@@ -169,14 +179,14 @@ def plant_specs(
         Step(
             "prediccion_meteo",
             "prediccion_meteo",
-            Rollup("prediccion_meteo", (mean("radiacion"), mean("temperatura")), grain="1 hour"),
+            Rollup("prediccion_meteo", (mean_("radiacion"), mean_("temperatura")), grain="1 hour"),
         ),
         Step(
             "emi",
             "emi",
             Rollup(
                 "emi",
-                (mean("radiacion"),),
+                (mean_("radiacion"),),
                 json=JsonUnpack("radiacion", tuple(emi_keys), EMI_JSON_KEYS),
             ),
         ),
@@ -185,7 +195,7 @@ def plant_specs(
             "inversor",
             Rollup(
                 "strings",
-                tuple(mean(k) for k in string_keys(len(strings))),
+                tuple(mean_(k) for k in string_keys(len(strings))),
                 by=dev,
                 json=JsonUnpack("i_s", tuple(strings), string_keys(len(strings))),
             ),
@@ -196,12 +206,12 @@ def plant_specs(
             Rollup(
                 "rack",
                 (
-                    mean("pa"),
-                    mean("soc"),
-                    mean("soh"),
-                    mean("dod"),
-                    mean("capacidad_carga"),
-                    mean("capacidad_descarga"),
+                    mean_("pa"),
+                    mean_("soc"),
+                    mean_("soh"),
+                    mean_("dod"),
+                    mean_("capacidad_carga"),
+                    mean_("capacidad_descarga"),
                     delta("ea_carga_hoy", "ea_carga"),
                     delta("ea_descarga_hoy", "ea_descarga"),
                 ),
@@ -210,23 +220,26 @@ def plant_specs(
         ),
     )
 
+    def total_(source: str):
+        return total(source, sums="exact")
+
     def daily(name: str, *measures) -> Rollup:
         return Rollup(name, tuple(measures), time="time_interval", grain="1 day", key="fecha")
 
     gold = (
-        Step("aarr", "aarr", daily("aarr", total("ea_import"), total("ea_export"))),
+        Step("aarr", "aarr", daily("aarr", total_("ea_import"), total_("ea_export"))),
         Step(
             "emi",
             "emi",
             Chain(
                 "emi",
                 (
-                    Rollup("emi_hourly", (avg("radiacion"),), time="time_interval", grain="1 hour", key="hora"),
-                    Rollup("emi", (total("radiacion"),), time="hora", grain="1 day", key="fecha"),
+                    Rollup("emi_hourly", (avg("radiacion", sums="exact"),), time="time_interval", grain="1 hour", key="hora"),
+                    Rollup("emi", (total_("radiacion"),), time="hora", grain="1 day", key="fecha"),
                 ),
             ),
         ),
-        Step("logger", "logger", daily("logger", total("ea_gen"))),
+        Step("logger", "logger", daily("logger", total_("ea_gen"))),
         Step(
             "bateria",
             "bateria",
@@ -234,11 +247,11 @@ def plant_specs(
                 "bateria",
                 high("soc", "max_soc"),
                 low("soc", "min_soc"),
-                total("ea_carga"),
-                total("ea_descarga"),
+                total_("ea_carga"),
+                total_("ea_descarga"),
             ),
         ),
-        Step("prediccion_meteo", "prediccion_meteo", daily("prediccion_meteo", total("radiacion"))),
+        Step("prediccion_meteo", "prediccion_meteo", daily("prediccion_meteo", total_("radiacion"))),
     )
 
     joined_sides = (

@@ -10,7 +10,7 @@ layer jobs sort when they write (``ordered=True``), which is where the row order
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,21 +33,22 @@ from plantlake.sources.tables import extract, read_parquet_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def standin_plant() -> Plant:
+def standin_plant(silver_sums: str = "plain") -> Plant:
     """The plant specs with the stand-in's devices and JSON keys; bronze extracts take every row."""
-    plant = plant_specs(battery_devices=STANDIN_BATTERY_DEVICES, emi_keys=STANDIN_EMI_KEYS)
+    plant = plant_specs(battery_devices=STANDIN_BATTERY_DEVICES, emi_keys=STANDIN_EMI_KEYS, silver_sums=silver_sums)
     bronze = tuple(Extract(x.table, x.source, None, x.split_by) for x in plant.bronze)
     return Plant(bronze, plant.silver, plant.gold, plant.joined_sides, plant.exploratory)
 
 
 PLANT = standin_plant()
+EXACT_PLANT = standin_plant(silver_sums="exact")
 
 
 def events(spark: SparkSession, data_dir: str) -> DataFrame:
     return read_parquet_table(spark, data_dir, "events")
 
 
-def bronze(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
+def bronze(spark: SparkSession, data_dir: str) -> Mapping[str, DataFrame]:
     return standin_bronze(events(spark, data_dir))
 
 
@@ -106,6 +107,12 @@ def silver_pcs_lineitem(spark: SparkSession, data_dir: str) -> DataFrame:
     return build_step(PLANT.silver_step("pcs"), bronze_in)
 
 
+def silver_pcs_exact(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The same rollup with means that do not depend on the order of the rows."""
+    bronze_in = lineitem_bronze(read_parquet_table(spark, data_dir, "lineitem"))
+    return build_step(EXACT_PLANT.silver_step("pcs"), bronze_in)
+
+
 def gold_meter_lineitem(spark: SparkSession, data_dir: str) -> DataFrame:
     bronze_in = lineitem_bronze(read_parquet_table(spark, data_dir, "lineitem"))
     return build_step(PLANT.gold_step("aarr"), silver_frames(PLANT, bronze_in, only=["aarr"]))

@@ -17,7 +17,7 @@ reads only the columns its measures use.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,9 +142,30 @@ STANDINS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def standin_bronze(events: DataFrame) -> dict[str, DataFrame]:
-    """All nine plant bronze tables as lazy projections of ``events``."""
-    return {name: make(events) for name, make in STANDINS.items()}
+class LazyTables(Mapping):
+    """Tables by name, each projected when it is first asked for."""
+
+    def __init__(self, source: DataFrame, makers: Mapping[str, Callable[[DataFrame], DataFrame]]) -> None:
+        self._source, self._makers, self._made = source, makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name](self._source)
+        return self._made[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def standin_bronze(events: DataFrame) -> Mapping[str, DataFrame]:
+    """The nine plant bronze tables as lazy projections of ``events``; a query pays for those that it uses."""
+    return LazyTables(events, STANDINS)
 
 
 def lineitem_bronze(lineitem: DataFrame) -> dict[str, DataFrame]:
