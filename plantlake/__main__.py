@@ -49,6 +49,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     )
     p.add_argument("--source-schema", default="public", help="schema of the source tables (bronze)")
     p.add_argument("--market-prices", action="store_true", help="also extract the market price table")
+    p.add_argument("--market-key", help="column whose hash deals the market price table to parallel reads")
     p.add_argument("--jdbc-partitions", type=int, default=0, help="range reads per extracted table (0: by its row count)")
     p.add_argument("--rows", type=int, default=20, help="rows shown by 'explore'")
     p.add_argument("--parallel", type=int, default=1, help="tables of a layer refreshed at the same time")
@@ -60,6 +61,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         town=args.town,
         battery_devices=tuple(args.battery_devices),
         with_market_prices=args.market_prices,
+        market_key=args.market_key,
     )
     own_session = spark is None
     spark = spark or build_session()

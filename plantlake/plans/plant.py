@@ -48,12 +48,14 @@ class Extract:
 
     ``split_by`` is the column a parallel read splits into ranges (the reading time), so each
     bronze file also covers one time range and later rollups aggregate it compactly.
+    ``hash_by`` is a key column whose hash deals rows to queries where time cannot.
     """
 
     table: str
     source: str
     where: str | None
     split_by: str | None = "fecha"
+    hash_by: str | None = None
 
 
 @dataclass(frozen=True)
@@ -113,6 +115,7 @@ def plant_specs(
     emi_keys: tuple[str, ...] = EMI_JSON_KEYS,
     strings: tuple[str, ...] | None = None,
     with_market_prices: bool = False,
+    market_key: str | None = None,
     silver_sums: str = "plain",
 ) -> Plant:
     """The specs of one site.
@@ -128,7 +131,7 @@ def plant_specs(
         Extract("prediccion_meteo", "prediccion_meteo", f"localidad = {sql_literal(town)}"),
     ]
     if with_market_prices:
-        bronze.append(Extract("omie", "omie", None, split_by=None))
+        bronze.append(Extract("omie", "omie", None, split_by=None, hash_by=market_key))
 
     dev = ("equipo",)
 

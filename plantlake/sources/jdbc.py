@@ -10,8 +10,13 @@ range query per partition, run in parallel by the executors.  With both bounds g
 ranges are equal widths of any numeric, date or timestamp column.  Without them the column
 must be a date or timestamp: the database counts the rows of each day, and neighbouring
 days are joined into ranges of about equal row counts, so a wrong clock (1970, 2099) costs
-no more than its own rows.  A range holds at least one day.  Rows without a time are read
-by a query of their own.
+no more than its own rows.  A day with more than a range's share is counted again by hour, and an
+hour with more by minute, and cut there.  Rows without a time are read by a query of their own.
+
+What time cannot cut (one minute, the rows without a time, a table without a time column) is cut by
+a hash of a key column, evaluated by the database, if the extract names one or the database has a row
+id of its own; rows without a key have a query too.  How a database hashes is ``HASH_SQL`` by the
+kind of the URL, or ``JdbcSource.hash_sql``; other databases need a whole number as key.
 
 Connection values come from the environment, never from code:
 
@@ -21,15 +26,28 @@ Connection values come from the environment, never from code:
 from __future__ import annotations
 
 import os
+from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
-from datetime import date
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 ROWS_PER_RANGE = 5_000_000
+WORTH_CUTTING = 100_000  # fewer rows are not counted again and not dealt by a key
+
+# SQL by kind of database for a bucket 0 to n - 1 of a key, and row ids that every table has.
+HASH_SQL = {
+    "postgresql": "MOD(MOD(HASHTEXT(CAST({key} AS TEXT)), {n}) + {n}, {n})",
+    "mysql": "MOD(CRC32({key}), {n})",
+    "mariadb": "MOD(CRC32({key}), {n})",
+    "oracle": "ORA_HASH({key}, {n} - 1)",
+    "sqlserver": "ABS(CAST(CHECKSUM({key}) AS BIGINT)) % {n}",
+}
+WHOLE_NUMBER_SQL = "MOD(MOD({key}, {n}) + {n}, {n})"
+ROW_IDS = {"postgresql": "ctid", "oracle": "ROWID"}
 
 
 @dataclass(frozen=True)
@@ -43,6 +61,17 @@ class JdbcSource:
     num_partitions: int = 1  # 0: one for every ROWS_PER_RANGE rows
     lower_bound: object | None = None
     upper_bound: object | None = None
+    hash_key: str | None = None
+    hash_sql: str | None = None  # with {key} and {n}: a whole number from 0 to n - 1
+
+    def kind(self) -> str:
+        """The kind of database: ``jdbc:<kind>:...``."""
+        return self.url.split(":", 2)[1] if self.url.startswith("jdbc:") else ""
+
+    def key_and_hash(self) -> tuple[str | None, str]:
+        """What rows can be dealt by: a key, if there is one, and the SQL of its bucket."""
+        key = self.hash_key or ROW_IDS.get(self.kind())
+        return key, self.hash_sql or HASH_SQL.get(self.kind(), WHOLE_NUMBER_SQL)
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None, **overrides) -> JdbcSource:
@@ -93,25 +122,70 @@ def fetch_day_counts(spark: SparkSession, source: JdbcSource, table: str, where:
     return [(r["day"], int(r["n"])) for r in counted.collect()]
 
 
-def range_starts(counts: Iterable[tuple[date | None, int]], ranges: int) -> list[date]:
-    """First days, ascending, of at most ``ranges`` runs of days; a run closes once it has its share of the rows."""
-    days = sorted((d, n) for d, n in counts if d is not None and n > 0)
-    share = sum(n for _, n in days) / max(1, ranges)
-    starts, held = [], 0
-    for day, n in days:
-        if not starts or (held + n / 2 > share and len(starts) < ranges):
-            starts.append(day)
-            held = 0
-        held += n
+Start = date | datetime
+
+
+def moment(start: Start) -> datetime:
+    return start if isinstance(start, datetime) else datetime.combine(start, time())
+
+
+def _literal(start: Start) -> str:
+    at = moment(start)
+    return f"DATE '{at.date().isoformat()}'" if at.time() == time() else f"TIMESTAMP '{at:%Y-%m-%d %H:%M:%S}'"
+
+
+def fetch_finer_counts(
+    spark: SparkSession, source: JdbcSource, table: str, where: str | None, grain: str, hot: list[datetime], width: timedelta
+) -> list[tuple[datetime, int]]:
+    """Rows of each hour (or minute) of the stretches that begin at ``hot``, counted by the database in one query."""
+    column = source.partition_column
+    stretches = " OR ".join(f"({column} >= {_literal(d)} AND {column} < {_literal(d + width)})" for d in hot)
+    fields = [f"CAST({column} AS DATE)", f"EXTRACT(HOUR FROM CAST({column} AS TIMESTAMP))"]
+    if grain == "minute":
+        fields.append(f"EXTRACT(MINUTE FROM CAST({column} AS TIMESTAMP))")
+    named = ", ".join(f"{f} AS {n}" for f, n in zip(fields, ("day", "hour", "minute"), strict=False))
+    kept = f"({where}) AND ({stretches})" if where else stretches
+    rows = read_query(spark, source, f"SELECT {named}, COUNT(*) AS n FROM {table} WHERE {kept} GROUP BY {', '.join(fields)}").collect()
+    return [(datetime.combine(r["day"], time(int(r["hour"]), int(r["minute"]) if grain == "minute" else 0)), int(r["n"])) for r in rows]
+
+
+def fetch_counts(spark: SparkSession, source: JdbcSource, table: str, where: str | None) -> list[tuple[Start | None, int]]:
+    """Rows by day; by hour in days, and by minute in hours, that hold more than a range's share; NULL times apart."""
+    counts = fetch_day_counts(spark, source, table, where)
+    share = max(WORTH_CUTTING, sum(n for _, n in counts) / max(1, wanted_ranges(source, counts)))
+    for grain, width in (("hour", timedelta(days=1)), ("minute", timedelta(hours=1))):
+        # an hour counts as hot only where its day was
+        step = date if grain == "hour" else datetime
+        hot = {moment(d) for d, n in counts if d is not None and n > share and (step is date or isinstance(d, datetime))}
+        if not hot:
+            break
+        finer = fetch_finer_counts(spark, source, table, where, grain, sorted(hot), width)
+        counts = [(d, n) for d, n in counts if d is None or moment(d) not in hot] + finer
+    return counts
+
+
+def wanted_ranges(source: JdbcSource, counts: Iterable[tuple[Start | None, int]]) -> int:
+    return source.num_partitions or -(-sum(n for _, n in counts) // ROWS_PER_RANGE)
+
+
+def range_starts(counts: Iterable[tuple[Start | None, int]], ranges: int) -> list[Start]:
+    """First moments, ascending, of at most ``ranges`` runs of days (or parts of them); run k ends near k shares of the rows."""
+    parts = sorted(((d, n) for d, n in counts if d is not None and n > 0), key=lambda x: moment(x[0]))
+    share = sum(n for _, n in parts) / max(1, ranges)
+    starts, before = [], 0
+    for start, n in parts:
+        if not starts or (before + n / 2 > len(starts) * share and len(starts) < ranges):
+            starts.append(start)
+        before += n
     return starts
 
 
-def range_predicates(column: str, starts: list[date]) -> list[str]:
+def range_predicates(column: str, starts: list[Start]) -> list[str]:
     """One condition per range and one for NULL; together they hold for every row exactly once.
 
     The first range is open below and the last above, so rows that arrive after the count are read too.
     """
-    edges = [f"DATE '{d.isoformat()}'" for d in starts[1:]]
+    edges = [_literal(d) for d in starts[1:]]
     out = []
     for lo, hi in zip([None, *edges], [*edges, None], strict=True):
         parts = [f"{column} >= {lo}" if lo else None, f"{column} < {hi}" if hi else None]
@@ -119,6 +193,32 @@ def range_predicates(column: str, starts: list[date]) -> list[str]:
     return [*out, f"{column} IS NULL"]
 
 
+def hash_predicates(key: str, buckets: int, hash_sql: str) -> list[str]:
+    """One condition per bucket of the key's hash and one for NULL keys; every row meets exactly one."""
+    bucket = hash_sql.format(key=key, n=buckets)
+    return [*(f"{key} IS NOT NULL AND {bucket} = {i}" for i in range(buckets)), f"{key} IS NULL"]
+
+
+def dealt_predicates(source: JdbcSource, counts: list[tuple[Start | None, int]]) -> list[str]:
+    """Conditions for the parallel read: ranges of time, and buckets of the key where one range still has twice its share."""
+    ranges = wanted_ranges(source, counts)
+    starts = range_starts(counts, ranges)
+    share = max(1, sum(n for _, n in counts) / max(1, ranges))
+    edges = [moment(d) for d in starts]
+    sizes = [0] * max(1, len(starts)) + [sum(n for d, n in counts if d is None)]
+    for d, n in counts:
+        if d is not None and n > 0:
+            sizes[bisect_right(edges, moment(d)) - 1] += n
+    key, hash_sql = source.key_and_hash()
+    out = []
+    for condition, size in zip(range_predicates(source.partition_column, starts), sizes, strict=True):
+        if key is not None and size > 2 * max(share, WORTH_CUTTING):
+            out += [f"{condition} AND {p}" for p in hash_predicates(key, -(-size // int(share)), hash_sql)]
+        else:
+            out.append(condition)
+    return out
+
+
 def read_table(spark: SparkSession, source: JdbcSource, table: str, where: str | None = None) -> DataFrame:
     """``SELECT * FROM table WHERE where``, read in parallel when a partition column is set."""
     if source.partition_column and source.num_partitions != 1:
@@ -126,10 +226,9 @@ def read_table(spark: SparkSession, source: JdbcSource, table: str, where: str |
             options = source.partition_options(source.lower_bound, source.upper_bound)
             df = _reader(spark, source).option("dbtable", table).options(**options).load()
         else:
-            counts = fetch_day_counts(spark, source, table, where)
-            ranges = source.num_partitions or -(-sum(n for _, n in counts) // ROWS_PER_RANGE)
-            starts = range_starts(counts, ranges)
-            df = _read_ranges(spark, source, table, range_predicates(source.partition_column, starts))
+            df = _read_ranges(spark, source, table, dealt_predicates(source, fetch_counts(spark, source, table, where)))
+    elif source.num_partitions != 1 and source.key_and_hash()[0] is not None:
+        df = _read_hashed(spark, source, table, where)
     else:
         df = _reader(spark, source).option("dbtable", table).load()
     return df if where is None else df.where(F.expr(where))
@@ -141,16 +240,27 @@ def _read_ranges(spark: SparkSession, source: JdbcSource, table: str, predicates
     return spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
 
 
+def _read_hashed(spark: SparkSession, source: JdbcSource, table: str, where: str | None) -> DataFrame:
+    """A table without a time column: one task, and one query, per bucket of the key, as many as its rows ask for."""
+    cond = f" WHERE {where}" if where else ""
+    rows = int(read_query(spark, source, f"SELECT COUNT(*) AS n FROM {table}{cond}").first()["n"])
+    buckets = source.num_partitions or -(-rows // ROWS_PER_RANGE)
+    if buckets <= 1:
+        return _reader(spark, source).option("dbtable", table).load()
+    key, hash_sql = source.key_and_hash()
+    return _read_ranges(spark, source, table, hash_predicates(key, buckets, hash_sql))
+
+
 def source_reader(spark: SparkSession, source: JdbcSource, schema: str | None = None):
     """``read_source`` callable for ``jobs.run_bronze``: an extract spec -> its rows.
 
     Unless ``source.num_partitions`` is 1, each table is read as that many (0: by its row count) range queries on the
-    extract's ``split_by`` column (sized by the rows of each day that the predicate keeps) and
-    one for NULL times; an extract without a split column is read in one query.
+    extract's ``split_by`` column (sized by the rows that the predicate keeps) and one for NULL times; an extract
+    without a split column is dealt by the hash of its ``hash_by`` column, or read in one query if nothing names a key.
     """
 
     def read(x) -> DataFrame:
-        src = replace(source, partition_column=x.split_by) if x.split_by else replace(source, num_partitions=1)
+        src = replace(source, partition_column=x.split_by, hash_key=x.hash_by or source.hash_key)
         return read_table(spark, src, f"{schema}.{x.source}" if schema else x.source, x.where)
 
     return read
