@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--jdbc-partitions", type=int, default=0, help="range reads per extracted table (0: by its row count)")
     p.add_argument("--rows", type=int, default=20, help="rows shown by 'explore'")
     p.add_argument("--parallel", type=int, default=1, help="tables of a layer refreshed at the same time")
+    p.add_argument("--publish", choices=["swap", "view"], default="swap", help="how a refreshed table replaces the old one on the session catalog")
     args = p.parse_args(argv)
 
     plant = plant_specs(
@@ -73,15 +74,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             source = JdbcSource.from_env(num_partitions=args.jdbc_partitions)
             reader = source_reader(spark, source, args.source_schema)
             if args.job == "all":
-                done = [jobs.run_all(spark, plant, reader, catalog, parallel=args.parallel)]
+                done = [jobs.run_all(spark, plant, reader, catalog, parallel=args.parallel, publish=args.publish)]
             else:
-                done = jobs.run_bronze(spark, plant, reader, catalog, BRONZE, parallel=args.parallel)
+                done = jobs.run_bronze(spark, plant, reader, catalog, BRONZE, parallel=args.parallel, publish=args.publish)
         elif args.job == "silver":
-            done = jobs.run_silver(spark, plant, catalog, parallel=args.parallel)
+            done = jobs.run_silver(spark, plant, catalog, parallel=args.parallel, publish=args.publish)
         elif args.job == "gold":
-            done = jobs.run_gold(spark, plant, catalog, parallel=args.parallel)
+            done = jobs.run_gold(spark, plant, catalog, parallel=args.parallel, publish=args.publish)
         elif args.job == "joined":
-            done = [jobs.run_joined(spark, plant, catalog)]
+            done = [jobs.run_joined(spark, plant, catalog, publish=args.publish)]
         elif args.job == "explore":
             done = []
             for name, df in jobs.explore(spark, plant, catalog, n=args.rows).items():

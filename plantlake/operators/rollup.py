@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.jsoncols import JsonUnpack, unpack
 from plantlake.functions.measures import Measure
-from plantlake.functions.timegrid import grain_minutes, with_grain_key
+from plantlake.functions.timegrid import day_of, grain_minutes, with_grain_key
 
 
 def sql_literal(value: object) -> str:
@@ -75,17 +75,20 @@ class Rollup:
                 cols.append(m.source)
         return cols
 
-    def build(self, df: DataFrame, ordered: bool = False) -> DataFrame:
+    def prepared(self, df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+        """The input after the filter and the JSON step, with the key column; ``also`` names columns to keep."""
         if self.where is not None:
             df = df.where(F.expr(self.where))
         if self.json is not None:
             produced = self.json.out_names()
-            keep = [c for c in self.input_columns() if c not in produced]
+            keep = [c for c in dict.fromkeys([*self.input_columns(), *also]) if c not in produced]
             used = [(k, n) for k, n in zip(self.json.keys, produced) if n in self.input_columns()]
             spec = JsonUnpack(self.json.column, tuple(k for k, _ in used), tuple(n for _, n in used), self.json.cast)
             df = unpack(df, spec, keep)
-        keyed = with_grain_key(df, self.key, self.time, self.grain)
-        out = keyed.groupBy(self.key, *self.by).agg(*[m.column() for m in self.measures])
+        return with_grain_key(df, self.key, self.time, self.grain)
+
+    def build(self, df: DataFrame, ordered: bool = False) -> DataFrame:
+        out = self.prepared(df).groupBy(self.key, *self.by).agg(*[m.column() for m in self.measures])
         if ordered:
             out = out.orderBy(self.key, *self.by)
         return out
@@ -93,7 +96,12 @@ class Rollup:
 
 @dataclass(frozen=True)
 class Chain:
-    """Rollups applied one after another (a rollup of a rollup, e.g. hour means summed per day)."""
+    """Rollups applied one after another (a rollup of a rollup, e.g. hour means summed per day).
+
+    The input is a table of the layer before, a row per bucket and device.  If the last grain is the day, its rows are
+    dealt by the day once, and every step groups by the day as well, which changes no group (a bucket lies in one day):
+    rows of a day lie together for all steps, so the steps need no exchange of their own.  Otherwise each step has one.
+    """
 
     name: str
     steps: tuple[Rollup, ...]
@@ -102,11 +110,27 @@ class Chain:
         if not self.steps:
             raise ValueError(f"chain {self.name} has no steps")
 
+    def one_day(self) -> bool:
+        """Whether all steps can share an exchange on the day."""
+        *inner, last = self.steps
+        fed = all(b.time == a.key and b.where is None and b.json is None for a, b in zip(self.steps, self.steps[1:]))
+        named = {c for s in inner for c in (s.key, *s.by, *(m.name for m in s.measures))}
+        return bool(inner) and fed and grain_minutes(last.grain) == 1440 and not last.by and last.key not in named
+
     def build(self, df: DataFrame, ordered: bool = False) -> DataFrame:
         *inner, last = self.steps
-        for step in inner:
-            df = step.build(df)
-        return last.build(df, ordered=ordered)
+        if not self.one_day():
+            for step in inner:
+                df = step.build(df)
+            return last.build(df, ordered=ordered)
+        day = last.key
+        for i, step in enumerate(inner):
+            df = step.prepared(df, also=() if i == 0 else (day,))
+            if i == 0:
+                df = df.withColumn(day, day_of(step.key)).repartition(day)
+            df = df.groupBy(day, step.key, *step.by).agg(*[m.column() for m in step.measures])
+        out = df.groupBy(day).agg(*[m.column() for m in last.measures])
+        return out.orderBy(day) if ordered else out
 
 
 def select_renamed(df: DataFrame, columns: Sequence[str | tuple[str, str]]) -> DataFrame:

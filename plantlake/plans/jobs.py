@@ -12,12 +12,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plantlake.operators.fusion import FusedRollup, fuse
 from plantlake.plans.layers import build_step, joined_frame
-from plantlake.plans.plant import BRONZE, GOLD, JOINED_TABLE, SILVER, Extract, Plant
-from plantlake.sources.catalog import drop_layer, ensure_layer, qualified, replace_table
+from plantlake.plans.plant import BRONZE, GOLD, JOINED_TABLE, SILVER, Extract, Plant, Step
+from plantlake.sources.catalog import drop_layer, ensure_layer, qualified, replace_table, stored
 
 
-def _refresh(writes: list[Callable[[], str]], parallel: int) -> list[str]:
+def _refresh(writes: list[Callable], parallel: int) -> list:
     """Run the table refreshes of one layer, ``parallel`` Spark jobs at a time.
 
     The refreshes are independent, so with ``parallel > 1`` they are submitted from a few
@@ -40,6 +41,7 @@ def run_bronze(
     catalog: str | None = None,
     layer: str = BRONZE,
     parallel: int = 1,
+    publish: str = "swap",
 ) -> list[str]:
     """Extract each source table into the bronze layer.
 
@@ -48,7 +50,7 @@ def run_bronze(
     """
     ensure_layer(spark, catalog, layer)
     writes = [
-        lambda x=x: replace_table(bronze_frame(x, read_source), catalog, layer, x.table) for x in plant.bronze
+        lambda x=x: replace_table(bronze_frame(x, read_source), catalog, layer, x.table, publish) for x in plant.bronze
     ]
     return _refresh(writes, parallel)
 
@@ -72,13 +74,26 @@ def run_silver(
     layer: str = SILVER,
     ordered: bool = True,
     parallel: int = 1,
+    publish: str = "swap",
 ) -> list[str]:
+    """Refresh the silver tables; rollups of one bronze table with the same groups share one scan of it."""
     ensure_layer(spark, catalog, layer)
     inputs = _layer_inputs(spark, catalog, source_layer, {s.source for s in plant.silver})
-    writes = [
-        lambda s=s: replace_table(build_step(s, inputs, ordered), catalog, layer, s.table) for s in plant.silver
-    ]
-    return _refresh(writes, parallel)
+    writes = [lambda g=g: _refresh_group(spark, g, inputs, catalog, layer, ordered, publish) for g in fuse(plant.silver)]
+    done = {name for names in _refresh(writes, parallel) for name in names}
+    return [n for s in plant.silver if (n := qualified(catalog, layer, s.table)) in done]
+
+
+def _refresh_group(
+    spark: SparkSession, group: list[Step], inputs: dict[str, DataFrame], catalog: str | None, layer: str, ordered: bool, publish: str
+) -> list[str]:
+    """Write the tables of rollups that share a scan: the wide aggregate is stored, and each table is taken from it."""
+    if len(group) == 1:
+        (step,) = group
+        return [replace_table(build_step(step, inputs, ordered), catalog, layer, step.table, publish)]
+    fused = FusedRollup(tuple((s.table, s.spec) for s in group))
+    with stored(fused.build(inputs[group[0].source]), catalog, layer, "_".join(s.table for s in group)) as wide:
+        return [replace_table(fused.part(wide, s.table, ordered), catalog, layer, s.table, publish) for s in group]
 
 
 def run_gold(
@@ -89,18 +104,19 @@ def run_gold(
     layer: str = GOLD,
     ordered: bool = True,
     parallel: int = 1,
+    publish: str = "swap",
 ) -> list[str]:
     ensure_layer(spark, catalog, layer)
     inputs = _layer_inputs(spark, catalog, source_layer, {s.source for s in plant.gold})
-    writes = [lambda s=s: replace_table(build_step(s, inputs, ordered), catalog, layer, s.table) for s in plant.gold]
+    writes = [lambda s=s: replace_table(build_step(s, inputs, ordered), catalog, layer, s.table, publish) for s in plant.gold]
     return _refresh(writes, parallel)
 
 
 def run_joined(
-    spark: SparkSession, plant: Plant, catalog: str | None = None, layer: str = GOLD, table: str = JOINED_TABLE
+    spark: SparkSession, plant: Plant, catalog: str | None = None, layer: str = GOLD, table: str = JOINED_TABLE, publish: str = "swap"
 ) -> str:
     inputs = _layer_inputs(spark, catalog, layer, {s.table for s in plant.joined_sides})
-    return replace_table(joined_frame(plant, inputs), catalog, layer, table)
+    return replace_table(joined_frame(plant, inputs), catalog, layer, table, publish)
 
 
 def run_all(
@@ -110,12 +126,13 @@ def run_all(
     catalog: str | None = None,
     layers: tuple[str, str, str] = (BRONZE, SILVER, GOLD),
     parallel: int = 1,
+    publish: str = "swap",
 ) -> str:
     bronze, silver, gold = layers
-    run_bronze(spark, plant, read_source, catalog, bronze, parallel=parallel)
-    run_silver(spark, plant, catalog, bronze, silver, parallel=parallel)
-    run_gold(spark, plant, catalog, silver, gold, parallel=parallel)
-    return run_joined(spark, plant, catalog, gold)
+    run_bronze(spark, plant, read_source, catalog, bronze, parallel=parallel, publish=publish)
+    run_silver(spark, plant, catalog, bronze, silver, parallel=parallel, publish=publish)
+    run_gold(spark, plant, catalog, silver, gold, parallel=parallel, publish=publish)
+    return run_joined(spark, plant, catalog, gold, publish=publish)
 
 
 def explore(

@@ -6,11 +6,19 @@ replace-as-select, so there the new rows are first written in full to a staging
 with a unique name, and only then swapped in (drop the old table, rename the staging
 one).  A job that fails while writing leaves the previous table untouched; only the
 short swap is not atomic.
+
+``publish="view"`` closes that gap: the rows are written to a table of their own (a version),
+and a view of the published name is pointed at it in one catalog call, so a reader finds the
+old rows or the new ones and never neither.  The version before stays for readers that
+have begun; older ones are dropped.  Nothing is renamed, so nothing is copied on an object store.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,26 +85,98 @@ def layer_views(spark: SparkSession, catalog: str | None, layer: str) -> list[st
 STAGING_MARK = "__staging_"
 
 
-def replace_table(df: DataFrame, catalog: str | None, layer: str, table: str) -> str:
+VERSION_MARK = "__version_"
+PUBLISH = ("swap", "view")
+
+
+def replace_table(df: DataFrame, catalog: str | None, layer: str, table: str, publish: str = "swap") -> str:
     """Full refresh of ``<catalog>.<layer>.<table>``: new data and new schema."""
+    if publish not in PUBLISH:
+        raise ValueError(f"unknown publish {publish!r}; use one of {PUBLISH}")
     name = qualified(catalog, layer, table)
     spark = df.sparkSession
     if is_v2_catalog(spark, catalog):
         df.writeTo(name).createOrReplace()
         return name
     check_warehouse(spark)
+    if publish == "view":
+        return publish_version(df, catalog, layer, table)
     staging = qualified(catalog, layer, f"{table}{STAGING_MARK}{uuid.uuid4().hex[:12]}")
     df.write.mode("errorifexists").saveAsTable(staging)
+    _drop_published(spark, catalog, layer, table)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     # the session catalog takes the new name as <database>.<table>
     spark.sql(f"ALTER TABLE {staging} RENAME TO {qualified(layer, table)}")
     return name
 
 
+@contextmanager
+def stored(df: DataFrame, catalog: str | None, layer: str, name: str) -> Iterator[DataFrame]:
+    """``df`` written once to a staging table of the layer, to be read several times; dropped at the end."""
+    spark = df.sparkSession
+    if not is_v2_catalog(spark, catalog):
+        check_warehouse(spark)
+    staging = qualified(catalog, layer, f"{name}{STAGING_MARK}{uuid.uuid4().hex[:12]}")
+    try:
+        df.write.mode("errorifexists").saveAsTable(staging)
+        yield spark.table(staging)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+
+
+def table_versions(spark: SparkSession, catalog: str | None, layer: str, table: str) -> list[str]:
+    """Stored versions of a published table, oldest first."""
+    mark = f"{table}{VERSION_MARK}".lower()
+    return [t for t in layer_tables(spark, catalog, layer) if t.lower().startswith(mark)]
+
+
+def publish_version(df: DataFrame, catalog: str | None, layer: str, table: str, keep: int = 1) -> str:
+    """Write ``df`` as a new version and point the published view at it; ``keep`` versions before it stay.
+
+    A failed write leaves the view as it was, and an unfinished version that the next publish drops.  A plain table of
+    that name becomes the version before, once, which takes two calls.
+    """
+    spark = df.sparkSession
+    name = qualified(catalog, layer, table)
+    version = f"{table}{VERSION_MARK}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").saveAsTable(qualified(catalog, layer, version))
+    if any(_same_name(spark, t, table) for t in layer_tables(spark, catalog, layer)):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {qualified(layer, f'{table}{VERSION_MARK}{0:020d}')}")
+    shown = _shown_version(spark, catalog, layer, table)
+    _point_view(spark, catalog, layer, table, version)
+    older = [v for v in table_versions(spark, catalog, layer, table) if not _same_name(spark, v, version)]
+    # the version that readers saw until now comes first among those to keep, unfinished ones last
+    older.sort(key=lambda v: (shown is not None and _same_name(spark, v, shown), v))
+    for v in older[: max(0, len(older) - keep)]:
+        spark.sql(f"DROP TABLE IF EXISTS {qualified(catalog, layer, v)}")
+    return name
+
+
+def _shown_version(spark: SparkSession, catalog: str | None, layer: str, table: str) -> str | None:
+    if not any(_same_name(spark, v, table) for v in layer_views(spark, catalog, layer)):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(catalog, layer, table)}").where("col_name = 'View Text'").collect()  # one row
+    return rows[0]["data_type"].rsplit("`", 2)[1] if rows else None
+
+
+def _point_view(spark: SparkSession, catalog: str | None, layer: str, table: str, version: str) -> None:
+    """The flip: one catalog call."""
+    spark.sql(f"CREATE OR REPLACE VIEW {qualified(catalog, layer, table)} AS SELECT * FROM {qualified(catalog, layer, version)}")
+
+
+def _drop_published(spark: SparkSession, catalog: str | None, layer: str, table: str) -> None:
+    """Remove the view and the versions of a published table, if it is one."""
+    versions = table_versions(spark, catalog, layer, table)
+    if versions and any(_same_name(spark, v, table) for v in layer_views(spark, catalog, layer)):
+        spark.sql(f"DROP VIEW IF EXISTS {qualified(catalog, layer, table)}")
+        for v in versions:
+            spark.sql(f"DROP TABLE IF EXISTS {qualified(catalog, layer, v)}")
+
+
 def drop_layer(spark: SparkSession, catalog: str | None, layer: str) -> list[str]:
     """Drop every view and table the layer holds (as listed by the catalog), then the namespace.
 
-    Absent layer: nothing happens.  Returns the dropped table names.
+    Absent layer: nothing happens.  Returns the dropped table names; versions count under their published name.
     """
     dropped = layer_tables(spark, catalog, layer)
     for v in layer_views(spark, catalog, layer):
@@ -104,7 +184,7 @@ def drop_layer(spark: SparkSession, catalog: str | None, layer: str) -> list[str
     for t in dropped:
         spark.sql(f"DROP TABLE IF EXISTS {qualified(catalog, layer, t)}")
     spark.sql(f"DROP NAMESPACE IF EXISTS {qualified(catalog, layer)}")
-    return dropped
+    return sorted({t.split(VERSION_MARK)[0] for t in dropped})
 
 
 def register_view(df: DataFrame, name: str) -> str:

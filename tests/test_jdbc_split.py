@@ -73,7 +73,7 @@ def test_a_day_with_half_of_all_rows_is_cut_by_hour_and_minute(spark, con, recor
     assert len(asked) == 3 and "EXTRACT(HOUR" in asked[1] and "EXTRACT(MINUTE" in asked[2] and all("site < 5" in q for q in asked)
     held = sizes(con, "t", predicates)
     assert sum(held) == 40050 and held[-1] == 50
-    assert max(held) <= 1.6 * 40050 / 16  # by days alone one range would hold more than 20,000
+    assert max(held) <= 2 * 40050 / 16  # by days alone one range would hold more than 20,000
     assert any("TIMESTAMP '2024-01-09 10:0" in p for p in predicates)
 
 

@@ -65,9 +65,9 @@ def test_flagship_day_join_adds_no_exchange_and_no_row_filter(plans):
     text = plans["daily_balance"]
     # The five daily tables are stacked and aggregated by day: no join operator at all,
     assert "Join" not in text and "Union" in text
-    # 5 streams x (bucket exchange + day exchange) + the hour exchange of the radiation chain;
+    # 5 streams x (bucket exchange + day exchange), which the hours of the radiation chain use too;
     # the union is already partitioned by day, so combining the days adds none,
-    assert len(re.findall(r"\(\d+\) Exchange", text)) == 11
+    assert len(re.findall(r"\(\d+\) Exchange", text)) == 10
     # and no join-derived isnotnull(day(bucket(ts))) filter is re-evaluated on the input rows.
     for filters in re.findall(r"DataFilters: \[([^\]]*)\]", text):
         assert "make_dt_interval" not in filters
