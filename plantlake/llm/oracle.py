@@ -7,6 +7,39 @@ CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
     lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
     lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b) ELSE xor(crc // 2, 3988292384::BIGINT * (crc % 2)) END))"""
 
+URL_FILTERS = r"""
+WITH rests AS (
+    SELECT row_number() OVER () AS page, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM rests
+), rules(of_host, of_path, says) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), fits AS (
+    SELECT page, arg_max(of_host || of_path, length(of_host || of_path)) AS rule, arg_max(says, length(of_host || of_path)) AS says
+    FROM parts JOIN rules ON (host = of_host OR ends_with(host, '.' || of_host)) AND starts_with(path, of_path) GROUP BY page
+)
+SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page)
+"""
+
+#: A turn takes its control strings (12 + 10), two line ends, and one backslash for each ``<|`` in role or text.
+CHAT_FORMATTING = r"""
+WITH said AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), rows AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place,
+        coalesce(role, '') AS role, coalesce(text, '') AS text FROM said
+), sized AS (
+    SELECT *, 24 + length(replace(replace(role, '%', '%25'), chr(10), '%0A')) + length(text)
+        + len(regexp_extract_all(role, '<\\*\|')) + len(regexp_extract_all(text, '<\\*\|')) AS size FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(size)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 #: The terms of ``text``.
 TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 

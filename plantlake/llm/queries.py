@@ -122,6 +122,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_url_filters": oracle.URL_FILTERS,
+    "op6_chat_formatting": oracle.CHAT_FORMATTING,
     "op11_ranked_search": oracle.RANKED_SEARCH,
     "op13_conversation_prefix_trie": oracle.PREFIX_TRIE,
 }

@@ -24,6 +24,36 @@ LATER = (
     (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
 )
 
+_set = "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in LATER)
+has_later = regex.compile(f"[{_set}]").search
+
+
+def pinned(pattern: str) -> regex.Pattern:
+    """A split pattern whose letters and numbers are the library's."""
+    for own, exact in (
+        (r"[^\p{White_Space}\p{L}\p{N}]", rf"[[^\p{{White_Space}}\p{{L}}\p{{N}}]||[{_set}]]"),
+        (r"[\p{L}]", rf"[\p{{L}}--[{_set}]]"),
+        (r"[\p{N}]", rf"[\p{{N}}--[{_set}]]"),
+    ):
+        pattern = pattern.replace(own, exact)
+    return regex.compile(pattern, regex.V1)
+
+
+# Capitals (first, last) that the library knows and ``str.lower`` does not, with the first one's small letter.
+NEWER_CAPITALS = (
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3),
+    (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+)
+_small = {first + i: small + i for first, last, small in NEWER_CAPITALS for i in range(last - first + 1)}
+_has_newer_capital = regex.compile("[" + "".join(map(chr, _small)) + "]").search
+
+
+def lowered(text: str) -> str:
+    """Lower case letter by letter (no final sigma), as the library has it."""
+    text = text.replace("Σ", "σ").lower()
+    return text.translate(_small) if _has_newer_capital(text) else text
+
+
 LETTER, NUMBER, OTHER, SPACE, BREAK = range(5)
 TEXT_BREAK = "\ud800"  # stands between texts; no text holds it
 
