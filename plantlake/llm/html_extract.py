@@ -4,7 +4,10 @@ A page becomes a tree of block elements whose leaves are runs of inline text.  E
 (text, links, tags, paragraphs), the tokens of its tag, class, id and role and those above it, its depth and its
 siblings.  The trees are trained on a bounded sample of the given pages: where a page marks its article with an
 ``article`` or ``main`` element, that is the label, and the page's own blocks are also laid out anew in other templates
-(other containers, side bars, notices, forms, adverts, reader comments), so that the model does not hang on one markup.
+(other containers, side bars, notices, forms, adverts, reader comments).  In half of these the article's container has
+no telling name, and often those around it have none, and the pages are learned with their articles unnamed, too, so
+that density, depth and siblings have to carry the decision.
+If no page marks its article, the paragraphs of the sample that stand in no side matter are laid out so.
 
 Decoding picks, by dynamic programming, the most likely labelling in which everything below a dropped node is dropped,
 so no choice contradicts one above it.  The text is that of the kept leaves in page order.
@@ -28,6 +31,7 @@ from .common import fresh
 SAMPLE = 160  # pages that the model is trained on, at most
 SAMPLE_CHARS = 1 << 18  # longer pages are trained on only if there are fewer than SAMPLE others
 LAYOUTS = 4  # further layouts made of each of them
+MIN_LAYOUTS = 320  # as many at least, however few pages there are
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 
 # Fixed values of HTML.
@@ -390,15 +394,25 @@ def teacher(page: Page) -> list[bool] | None:
     return [a or b for a, b in zip(inside, around, strict=True)]
 
 
-def layouts(sources: list[str], count: int, seed: int = 5) -> list[tuple[str, list[str]]]:
+def _paragraphs(page: Page) -> list[str]:
+    """The paragraphs outside all marked side matter, if one is long: texts for layouts where no page marks its article."""
+    barred = [False] * len(page.tag)
+    out = []
+    for i in range(1, len(page.tag)):
+        up = page.parent[i]
+        barred[i] = barred[up] or page.tag[i] in ("nav", "aside", "form", "footer", "header") or bool(page.bits[i] & _UNWANTED)
+        text = page.text[i]
+        if text is not None and not barred[i] and page.tag[up] in ("p", "blockquote", "h1") and 2 * page.linked[i] < len(text):
+            out.append(text)
+    return out if any(len(t) >= 40 for t in out) else []
+
+
+def layouts(sources: list[str], count: int, seed: int = 5, at_least: int = 0) -> list[tuple[str, list[str]]]:
     """Pages made of the blocks of the given ones in other templates, and the main texts that belong to them."""
     pick = random.Random(seed)
-    articles = []
-    for source in sources:
-        page = parse(source)
-        labels = teacher(page)
-        if labels and (blocks := [t for t, k in zip(page.text, labels, strict=True) if k and t]):
-            articles.append(blocks)
+    parsed = [parse(source) for source in sources]
+    marked = [[t for t, k in zip(page.text, teacher(page) or [], strict=False) if k and t] for page in parsed]
+    articles = [b for b in marked if b] or [b for b in map(_paragraphs, parsed) if b]
     if not articles:
         return []
     esc = entities.escape
@@ -410,13 +424,18 @@ def layouts(sources: list[str], count: int, seed: int = 5) -> list[tuple[str, li
         items = "".join(f'<li><a href="/{k}">{esc(some(1, 3))}</a></li>' for k in range(pick.randint(3, 9)))
         return f"{tag}<ul>{items}</ul>"
 
-    def box(kinds: list[tuple[str, str]], inner: str) -> str:
-        tag, attributes = pick.choice(kinds)
+    def neutral() -> tuple[str, str]:
+        name = "".join(pick.choice("bcdfghjkqvwxz") for _ in range(pick.randint(1, 4))) + pick.choice(["", "1", "-2", "_x"])
+        return pick.choice([("div", ""), ("div", ""), ("section", ""), ("div", f' class="{name}"'), ("section", f' id="{name}"')])
+
+    def box(kinds: list[tuple[str, str]], inner: str, unnamed: float = 0.0) -> str:
+        tag, attributes = neutral() if pick.random() < unnamed else pick.choice(kinds)
         return f"<{tag}{attributes}>{inner}</{tag}>"
 
     named = lambda tag, *names: [(tag, f' {pick.choice(["class", "id"])}="{n}"') for n in names]
     out = []
-    for blocks in articles * count:
+    for blocks in articles * max(count, -(-at_least // len(articles))):
+        plain = pick.choice([0.0, 0.0, 0.2, 0.8])  # how many of the boxes around the article have no telling name
         main_kinds = [("article", ""), ("main", ""), ("article", ' class="post"')] + named("div", "content", "post-content", "article-body", "entry", "main-content", "story") + named("section", "article", "post-body")
         body = []
         for k, t in enumerate(blocks):
@@ -427,16 +446,16 @@ def layouts(sources: list[str], count: int, seed: int = 5) -> list[tuple[str, li
         comments = "".join(box(named("div", "comment", "reply") + [("li", ""), ("article", ' class="comment"'), ("div", ' class="comment-body"')], f"<p>{paragraph()}</p>") for _ in range(pick.randint(1, 6)))
         comments = box(named("div", "comments", "disqus", "reader-comments", "discussion") + named("section", "comments", "replies") + named("ol", "commentlist"), pick.choice(["", "<h3>Comments</h3>"]) + comments)
         inside = pick.random() < 0.3
-        content = box(main_kinds, "".join(body) + (comments if inside else ""))
-        side = box([("aside", "")] + named("div", "sidebar", "widget", "related", "promo"), links(f"<h3>{esc(some(1, 3))}</h3>") + pick.choice(["", f"<p>{paragraph()}</p>"]))
+        content = box(main_kinds, "".join(body) + (comments if inside else ""), unnamed=0.5)
+        side = box([("aside", "")] + named("div", "sidebar", "widget", "related", "promo"), links(f"<h3>{esc(some(1, 3))}</h3>") + pick.choice(["", f"<p>{paragraph()}</p>"]))  # prose beside the article: always named
         top = [
-            box([("nav", "")] + named("div", "nav", "menu", "navbar") + named("ul", "menu"), links("")),
-            box([("header", "")] + named("div", "header", "masthead", "banner"), pick.choice([f"<h1>{esc(some(1, 4))}</h1>", f"<p>{esc(some(3, 9))}</p>", esc(some(2, 6))])),
-            box(named("div", "cookie-notice", "notice", "consent", "alert", "popup"), pick.choice([f"<p>{esc(some(8, 30))}</p>", esc(some(5, 30))])),
-            box(named("div", "ad", "advert", "ads", "sponsored", "banner"), pick.choice([f"<p>{esc(some(5, 40))}</p>", esc(some(5, 40))])),
+            box([("nav", "")] + named("div", "nav", "menu", "navbar") + named("ul", "menu"), links(""), plain),
+            box([("header", "")] + named("div", "header", "masthead", "banner"), pick.choice([f"<h1>{esc(some(1, 4))}</h1>", f"<p>{esc(some(3, 9))}</p>", esc(some(2, 6))]), plain),
+            box(named("div", "cookie-notice", "notice", "consent", "alert", "popup"), pick.choice([f"<p>{esc(some(8, 30))}</p>", esc(some(5, 30))]), plain),
+            box(named("div", "ad", "advert", "ads", "sponsored", "banner"), pick.choice([f"<p>{esc(some(5, 40))}</p>", esc(some(5, 40))]), plain),
             box([("form", "")] + named("form", "search", "login"), f"<label>{esc(some(1, 3))}</label><input><p>{esc(some(3, 10))}</p><button>{esc(some(1, 2))}</button>"),
         ]
-        bottom = [side, box([("footer", "")] + named("div", "footer", "copyright", "site-footer"), pick.choice([f"<p>&copy; {esc(some(4, 15))}</p>", f"&copy; {esc(some(4, 40))}", links("")]))]
+        bottom = [side, box([("footer", "")] + named("div", "footer", "copyright", "site-footer"), pick.choice([f"<p>&copy; {esc(some(4, 15))}</p>", f"&copy; {esc(some(4, 40))}", links("")]), plain)]
         if not inside and pick.random() < 0.7:
             bottom.insert(0, comments)
         bottom += [t for t in top[2:] if pick.random() < 0.3]
@@ -471,22 +490,38 @@ def _labels_of(page: Page, blocks: list[str]) -> list[bool]:
 
 
 def train(pages: DataFrame, html: str = "html", url: str = "url") -> BoostedTrees:
-    """Fit on at most ``SAMPLE`` different pages, chosen by a hash of their content, those over ``SAMPLE_CHARS`` last.
+    """Fit on at most ``SAMPLE`` different pages, chosen by a hash of their content: pages that mark their article
+    before others, and those over ``SAMPLE_CHARS`` last.
 
-    Only hashes are ranked; page text is read again for the chosen ones alone, one copy of each.  Without labels
-    everything is kept.
+    Only hashes are ranked; page text is read again for the chosen ones alone, one copy of each.  Without any paragraph
+    to learn from everything is kept.
     """
     hashed = pages.where(F.col(html).isNotNull()).select(F.col(html).cast("string").alias("h")).withColumn("k", F.xxhash64("h"))
-    ranked = hashed.groupBy("k").agg(F.max(F.length("h") > SAMPLE_CHARS).alias("long")).orderBy("long", "k").limit(SAMPLE)
+    ranked = hashed.groupBy("k").agg(F.max(F.length("h") > SAMPLE_CHARS).alias("long"), F.max(~F.col("h").rlike(r"(?i)<(?:article|main)[\s>]")).alias("unmarked"))
+    ranked = ranked.orderBy("long", "unmarked", "k").limit(SAMPLE)
     keys = [r["k"] for r in ranked.collect()]
     sources = [r["h"] for r in hashed.where(F.col("k").isin(keys)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k").collect()]
+    return fit(sources)
+
+
+def _unnamed(page: Page, labels: list[bool], keep: int) -> Page:
+    """The page with its article's elements as plain blocks, and without the attribute words outside ``keep``."""
+    content = _TAG_BITS["article"]
+    tag = ["div" if t in ("article", "main") else t for t in page.tag]
+    bits = [b & ~content if k else b & (keep | _TAG_BITS.get(t, 0)) for b, k, t in zip(page.bits, labels, page.tag, strict=True)]
+    return Page(page.parent, tag, bits, page.text, page.linked, page.tags_inside)
+
+
+def fit(sources: list[str]) -> BoostedTrees:
+    """Trees of the given pages: as they are, with the article unnamed, with most words dropped, and in other layouts."""
     xs, ys = [], []
     for source in sources:
         page = parse(source)
         if (labels := teacher(page)) is not None:
-            xs.append(features(page))
-            ys.append(labels)
-    for source, blocks in layouts(sources, LAYOUTS):
+            for variant in (page, _unnamed(page, labels, -1), _unnamed(page, labels, 1 << _GROUPS.index("comment"))):
+                xs.append(features(variant))
+                ys.append(labels)
+    for source, blocks in layouts(sources, LAYOUTS, at_least=MIN_LAYOUTS):
         page = parse(source)
         xs.append(features(page))
         ys.append(_labels_of(page, blocks))
