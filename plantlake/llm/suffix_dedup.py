@@ -4,9 +4,11 @@ Suffixes are kept only where a text's content selects them: at the least hash of
 ``MIN_WORDS - SEED + 1`` neighbouring ones (minimisers), so any two texts that share ``MIN_WORDS`` words keep a suffix at
 the same place of the shared passage.  Suffixes whose first ``SEED`` words occur nowhere else are dropped by an
 aggregated count.  The others, with the words that follow and precede them, are range-sorted by content over all
-partitions.  Every passage of ``MIN_WORDS`` words around the first words of a suffix is hashed, and it is kept if another
-text has it too, so the result does not hang on which suffixes are neighbours.  Suffixes with the same first words stand
-together and are decided where they are; where they may go on beyond a batch, the passages are counted by Spark.
+partitions.  Neighbours are compared to the right in this order and, in the order of the words before them, to the left;
+from these common lengths follows which suffixes share a passage of ``MIN_WORDS`` words around the seed, also those that
+are not next to each other.  Suffixes with the same first words stand together and are decided where they are.  Where
+they may go on beyond a batch, suffixes that share the same passages form a team, and each team's passages, once, and
+those that no other text of the batch has are met by their 64-bit hashes with those of other batches.
 Longer passages are covered by the overlapping spans of their suffixes, which are merged at the end.
 """
 
@@ -114,31 +116,68 @@ def _window_hashes(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return whole, there[0] & there[1][:, ::-1]
 
 
-def _spans(t: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """One span for each suffix with passages that another text in ``t`` has: id, start, stop, least id of the others."""
-    hashes, there = _window_hashes(t)
-    row, words_before = np.nonzero(there)
-    hashes, ids = hashes[there], t["id"][row]
-    order = np.lexsort([ids, hashes])
-    h, i = hashes[order], ids[order]
-    new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-    group = np.cumsum(new) - 1
-    least = i[new]
-    other_id = i != least[group]
-    second = np.full(len(least), np.iinfo(np.int64).max)
-    np.minimum.at(second, group[other_id], i[other_id])
-    found = np.zeros(len(least), bool)
-    found[group[other_id]] = True
-    ok = found[group]
-    partner = np.where(other_id, least[group], second[group])[ok]
-    row, words_before = row[order][ok], words_before[order][ok]
+def _common(words_: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Words that each row has in common with the row before it, -1 where the keys differ."""
+    differ = words_[1:] != words_[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), words_.shape[1])
+    return np.concatenate([[-1], np.where(key[1:] == key[:-1], common, -1)])
+
+
+def _passages(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, words before the seed, class) of the passages of ``MIN_WORDS`` words around each suffix of a sorted batch.
+
+    Neighbours are compared: rows between which every common right part has ``r`` words or more share ``r`` words to the
+    right, and so to the left in the order by left parts.  Passages with the same class have the same words.
+    """
+    side, n = MIN_WORDS - SEED, len(t["key"])
+    right = _common(t["right"], t["key"])
+    by_left = np.lexsort([np.ascontiguousarray(t["left"]).view(f"S{4 * side}").ravel(), t["key"]])
+    left = _common(t["left"][by_left], t["key"][by_left])
+    there = [(t[c] != 0).sum(axis=1) for c in ("left", "right")]
+    rows, before, classes = [], [], []
+    for w in range(side + 1):
+        with_left = np.empty(n, np.int64)
+        with_left[by_left] = np.cumsum(left < w)
+        row = np.flatnonzero((there[0] >= w) & (there[1] >= side - w))
+        rows.append(row)
+        before.append(np.full(len(row), w))
+        classes.append(((np.cumsum(right < side - w) * (n + 1) + with_left) * (side + 1) + w)[row])
+    return np.concatenate(rows), np.concatenate(before), np.concatenate(classes)
+
+
+class _Shared:
+    """The passages of a sorted batch, those that two texts of the batch have, and the least two of these texts."""
+
+    def __init__(self, t: dict[str, np.ndarray]) -> None:
+        row, before, classes = _passages(t)
+        order = np.lexsort([t["id"][row], classes])
+        self.row, self.before, classes = row[order], before[order], classes[order]
+        self.id = t["id"][self.row]
+        new = np.concatenate([[True], classes[1:] != classes[:-1]]) if len(classes) else np.zeros(0, bool)
+        group = np.cumsum(new) - 1
+        least = self.id[new]
+        other_id = self.id != least[group]
+        second = np.full(len(least), np.iinfo(np.int64).max)
+        np.minimum.at(second, group[other_id], self.id[other_id])
+        found = np.zeros(len(least), bool)
+        found[group[other_id]] = True
+        self.found, self.least, self.second = found[group], least[group], second[group]
+        self.other = np.where(other_id, self.least, self.second)
+
+
+def _spans(t: dict[str, np.ndarray], shared: _Shared) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One span for each suffix with passages that another text of the batch has: row, start, stop, least id of the others.
+
+    The passages of a suffix all hold its seed, so together they are one span.
+    """
     n, side = len(t["key"]), MIN_WORDS - SEED
+    row, before = shared.row[shared.found], shared.before[shared.found]
     most, fewest, other = np.full(n, -1), np.full(n, side + 1), np.full(n, np.iinfo(np.int64).max)
-    np.maximum.at(most, row, words_before)
-    np.minimum.at(fewest, row, words_before)
-    np.minimum.at(other, row, partner)
-    hit = most >= 0  # the passages of a suffix all hold its seed, so together they are one span
-    return [t["id"][hit], (t["at"] - most)[hit], (t["at"] - fewest)[hit] + MIN_WORDS, other[hit]]
+    np.maximum.at(most, row, before)
+    np.minimum.at(fewest, row, before)
+    np.minimum.at(other, row, shared.other[shared.found])
+    hit = np.flatnonzero(most >= 0)
+    return hit, (t["at"] - most)[hit], (t["at"] - fewest)[hit] + MIN_WORDS, other[hit]
 
 
 def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
@@ -148,41 +187,48 @@ def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     return {"key": plain("key"), "right": wide("right"), "left": wide("left"), "id": plain("id"), "at": plain("at").astype(np.int64)}
 
 
-_FIELDS = ("key", "right", "left", "id", "at")
+_DECIDED = "kind string, id bigint, start int, stop int, other bigint, team bigint, hash bigint, a bigint, b bigint"
+_TYPES = {"kind": pa.string(), "id": pa.int64(), "start": pa.int32(), "stop": pa.int32()} | {c: pa.int64() for c in ("other", "team", "hash", "a", "b")}
+
+
+def _rows(kind: str, n: int, **columns: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array(np.asarray(columns[c]).astype(t.to_pandas_dtype())) if c in columns else pa.nulls(n, t) for c, t in _TYPES.items() if c != "kind"]
+    return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.string()), *arrays], names=list(_TYPES))
 
 
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted batches: spans of the suffixes whose equals are all in the batch, and as ``open`` rows the other suffixes."""
-    names = ["id", "start", "stop", "other", "key", "right", "left", "open"]
+    """Sorted batches -> spans, and for the first and last key, which may go on in other batches, what decides them there.
+
+    kind span: a span with its least partner.  kind member: a span whose passages other texts of the batch have, too; what
+    is open is the least partner, which its team (the suffixes of the batch with the same such passages) looks up
+    together.  kind passage: a passage that a team shares, with the least two ids of the batch; or, without a team, one
+    that no other text of the batch has.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        batch = batch.select(_FIELDS)
-        key = batch.column("key").to_numpy(zero_copy_only=False)
-        edge = (key == key[0]) | (key == key[-1])
-        at_edge, within = batch.filter(pa.array(edge)), batch.filter(pa.array(~edge))
-        n = at_edge.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [at_edge.column("id"), at_edge.column("at"), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), *(at_edge.column(c) for c in ("key", "right", "left")), pa.array(np.ones(n, bool))],
-            names=names,
-        )
-        if within.num_rows:
-            found = _spans(_columns(within))
-            n = len(found[0])
-            none = [pa.nulls(n, t) for t in (pa.int64(), pa.binary(), pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[0]), pa.array(found[1].astype(np.int32)), pa.array(found[2].astype(np.int32)), pa.array(found[3]), *none, pa.array(np.zeros(n, bool))],
-                names=names,
-            )
-
-
-def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """key, right, left, id, at -> hash, id, start of every passage of ``MIN_WORDS`` words."""
-    t = _columns(batch)
-    hashes, there = _window_hashes(t)
-    row, words_before = np.nonzero(there)
-    start = (t["at"][row] - words_before).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(hashes[there].view(np.int64)), pa.array(t["id"][row]), pa.array(start)], names=["hash", "id", "start"])
+        t = _columns(batch)
+        shared = _Shared(t)
+        row, start, stop, other = _spans(t, shared)
+        edge = (t["key"] == t["key"][0]) | (t["key"] == t["key"][-1])
+        inner = ~edge[row]
+        yield _rows("span", int(inner.sum()), id=t["id"][row][inner], start=start[inner], stop=stop[inner], other=other[inner])
+        at_edge = edge[shared.row]
+        p = {c: getattr(shared, c)[at_edge] for c in ("row", "before", "found", "least", "second")}
+        hashes = _window_hashes(t)[0][p["row"], p["before"]] if len(p["row"]) else np.zeros(0, np.uint64)
+        team = np.zeros(len(edge), np.uint64)  # the sum does not hang on the order
+        np.add.at(team, p["row"][p["found"]], mix(hashes[p["found"]]))
+        own = mix(np.array([t["key"][0], t["id"][0], t["at"][0]]).view(np.uint64) * _BY_PLACE[:3]).sum(dtype=np.uint64)
+        team = mix(team + own).view(np.int64)
+        member = ~inner
+        yield _rows("member", int(member.sum()), id=t["id"][row][member], start=start[member], stop=stop[member], team=team[row][member])
+        speaks = np.zeros(len(edge), bool)  # one suffix of each team names the team's passages
+        speaks[row[member][np.unique(team[row[member]], return_index=True)[1]]] = True
+        told = p["found"] & speaks[p["row"]]
+        yield _rows("passage", int(told.sum()), hash=hashes[told].view(np.int64), a=p["least"][told], b=p["second"][told], team=team[p["row"][told]])
+        alone = ~p["found"]
+        rest = p["row"][alone]
+        yield _rows("passage", len(rest), hash=hashes[alone].view(np.int64), a=t["id"][rest], id=t["id"][rest], start=t["at"][rest] - p["before"][alone])
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -197,16 +243,23 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     shared = found.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     places = found.join(shared, "key").groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("places"))
     suffixes = source.join(places, "id").mapInArrow(per_batch(_contexts), "key bigint, right binary, left binary, id bigint, at int")
-    schema = "id bigint, start int, stop int, other bigint, key bigint, right binary, left binary, open boolean"
     ordered = suffixes.repartitionByRange("key", "right", "left", "id", "at").sortWithinPartitions("key", "right", "left", "id", "at")
-    decided = checkpoint(ordered.mapInArrow(_decided, schema))
-    rest = decided.where("open").select("key", "right", "left", "id", F.col("start").alias("at"))
-    windows = rest.mapInArrow(per_batch(_windows), "hash bigint, id bigint, start int")
-    # the two least ids of each passage; the limit on the rank is applied before the shuffle, too
-    rank = F.dense_rank().over(Window.partitionBy("hash").orderBy("id"))
-    two = windows.select("hash", "id").withColumn("rank", rank).where("rank <= 2").groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b")
-    marked = windows.join(two, "hash").select("id", "start", (F.col("start") + MIN_WORDS).alias("stop"), F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
-    spans = decided.where("not open").select("id", "start", "stop", "other").unionByName(marked)
+    decided = checkpoint(ordered.mapInArrow(_decided, _DECIDED))
+    passages = decided.where("kind = 'passage'")
+    # a batch gives a shared passage once for each team, so a set holds two ids for each batch at most
+    ids = lambda a, b: F.slice(F.array_sort(F.array_union(F.collect_set(a), F.collect_set(b))), 1, 2)
+    two = passages.groupBy("hash").agg(ids("a", "b").alias("two")).where("size(two) = 2").select("hash", F.col("two")[0].alias("first"), F.col("two")[1].alias("second"))
+    marked = passages.select("hash", "id", "start", "team").join(two, "hash")
+    partner = F.when(F.col("id") == F.col("first"), F.col("second")).otherwise(F.col("first"))
+    alone = marked.where("team is null").select("id", "start", (F.col("start") + MIN_WORDS).alias("stop"), partner.alias("other"))
+    # a team meets what was found for it in one group, which is no larger than its batch
+    teams = marked.where("team is not null").groupBy("team").agg(ids("first", "second").alias("two")).select("team", F.col("two")[0].alias("first"), F.col("two")[1].alias("second"))
+    members = decided.where("kind = 'member'").select("team", "id", "start", "stop")
+    met = members.unionByName(teams, allowMissingColumns=True)
+    for c in ("first", "second"):
+        met = met.withColumn(c, F.max(c).over(Window.partitionBy("team")))
+    met = met.where("id is not null").select("id", "start", "stop", partner.alias("other"))
+    spans = decided.where("kind = 'span'").select("id", "start", "stop", "other").unionByName(alone).unionByName(met)
     spans = spans.groupBy("id", "start", "stop").agg(F.min("other").alias("other"))
     before = Window.partitionBy("id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     so_far = Window.partitionBy("id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)
