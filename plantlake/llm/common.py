@@ -48,6 +48,13 @@ def packed(df: DataFrame, names: list[str]) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(0).alias("none"))
 
 
+def least_hashes(order: Column, rows: int, wanted: int) -> Column:
+    """Whether a 64-bit hash is among the least, so that about ``wanted`` of ``rows`` are; all of them if there are no more."""
+    if rows <= wanted:
+        return F.lit(True)
+    return order < F.lit(-(2**63) + int(wanted / rows * 2**64))
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

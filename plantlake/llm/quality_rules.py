@@ -15,10 +15,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, least_hashes
 
 WINDOW = 8
 SAMPLE = 20_000  # labelled rows that the list is learned from, at most
+MARGIN = 4  # labelled ids that are looked at for each row of the sample
 MAX_RULES, MAX_CONDITIONS, CUTS = 12, 4, 24
 PRECISION = 0.9  # of a rule on the pruning rows (Laplace-corrected)
 FEATURES = ("n_words", "mean_word", "symbol_share", "digit_share", "dup_line_share", "repeat_share", "distinct_share", "line_words")
@@ -162,14 +163,18 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
 def fit(statistics: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality") -> list[Rule]:
     """Learn from at most ``SAMPLE`` labelled rows, chosen by a hash of the id, that pass the base rules.
 
+    Only the ids with the least hashes, about ``MARGIN * SAMPLE``, are joined and ordered, so what tasks send on does not
+    grow with their number; if the base rules drop most of these, the sample is smaller.
+
     Null labels and ids are left out; an id with several labels counts as bad if one of them is 0.  Without labelled
     rows of both kinds the list is empty, and the base rules decide alone.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(id_col).agg(F.min(label).alias("__good"))
+    order = F.xxhash64(id_col)
     rows = (
         statistics.where(~base_failed())
-        .join(known, id_col)
-        .select("__good", *FEATURES, F.xxhash64(id_col).alias("__order"), F.col(id_col).alias("__id"))
+        .join(known.where(least_hashes(order, known.count(), MARGIN * SAMPLE)), id_col)
+        .select("__good", *FEATURES, order.alias("__order"), F.col(id_col).alias("__id"))
         .orderBy("__order", "__id", *FEATURES)
         .limit(SAMPLE)
         .collect()

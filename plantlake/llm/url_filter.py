@@ -94,7 +94,8 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", partitions: int |
     passing = passing.withColumns({"key": host_key(F.col("host")), "tie": F.xxhash64("row", "path")})
     spark = urls.sparkSession
     wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = passing.select("key", "tie", F.rand(17).alias("r")).orderBy("r").limit(SAMPLE).select("key", "tie").toArrow()
+    share = min(1.0, 2 * SAMPLE / max(1, urls.count()))  # few more than the sample are ordered
+    sample = passing.select("key", "tie", F.rand(17).alias("r")).where(F.col("r") < share).orderBy("r").limit(SAMPLE).select("key", "tie").toArrow()
     keys = sorted(zip(sample["key"].to_pylist(), sample["tie"].to_pylist(), strict=True), key=lambda x: (x[0].encode(), x[1]))
     bounds = sorted({(k.encode(), t) for k, t in (keys[len(keys) * i // wanted] for i in range(1, wanted))} if keys else set())
 
