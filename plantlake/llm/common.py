@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 #: A word, as all the operators here count words.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
+#: Text for which a result gets a file.  Smaller partitions are written together: without Hadoop's native library, each
+#: file on a local path costs two processes that the executor starts to set its mode and that of its checksum.
+PART_BYTES = 16 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,10 +34,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, in the shared folder, so a lost executor costs a re-read."""
+def checkpoint(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Compute once and cut the lineage, in the shared folder, so a lost executor costs a re-read; in ``parts`` files at most."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if parts is None else df.coalesce(parts)).checkpoint(eager=True)
+
+
+def part_count(docs: DataFrame, text: str = "text") -> int:
+    """Files for results that grow with ``docs``: one for ``PART_BYTES`` of text, and one for each core at least."""
+    held = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // PART_BYTES))
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, per_batch
+from .common import checkpoint, part_count, per_batch
 from .wordhash import Words, mix, words
 
 MIN_WORDS = 50
@@ -239,12 +239,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     give no rows; rows that repeat an id are one text to each other, so they match other ids only.
     """
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    parts = part_count(source)
     found = seeds(source)
     shared = found.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     places = found.join(shared, "key").groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("places"))
     suffixes = source.join(places, "id").mapInArrow(per_batch(_contexts), "key bigint, right binary, left binary, id bigint, at int")
     ordered = suffixes.repartitionByRange("key", "right", "left", "id", "at").sortWithinPartitions("key", "right", "left", "id", "at")
-    decided = checkpoint(ordered.mapInArrow(_decided, _DECIDED))
+    decided = checkpoint(ordered.mapInArrow(_decided, _DECIDED), parts)
     passages = decided.where("kind = 'passage'")
     # a batch gives a shared passage once for each team, so a set holds two ids for each batch at most
     ids = lambda a, b: F.slice(F.array_sort(F.array_union(F.collect_set(a), F.collect_set(b))), 1, 2)
@@ -266,7 +267,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     spans = spans.withColumn("fresh", (F.col("start") > F.coalesce(F.max("stop").over(before), F.lit(-1))).cast("int"))
     spans = spans.withColumn("part", F.sum("fresh").over(so_far))
     merged = spans.groupBy("id", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("other").alias("other"))
-    return merged.select(
+    return merged.coalesce(parts).select(
         F.col("id").alias(id_col), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"),
         (F.col("stop") - F.col("start")).cast("long").alias("n_words"), F.col("other").alias("other_doc_id"),
     )
