@@ -1,4 +1,7 @@
-"""Training-data pipeline over ``documents``: each stage is written as Parquet and read again for the next one."""
+"""Training-data pipeline over ``documents``: each stage is written as Parquet and read again for the next one.
+
+A stage writes a file for ``common.PART_BYTES`` of text, or one for each core; fewer if its input has fewer partitions.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.llm import bpe, decontamination, near_dup, secret_scan, toxicity
-from plantlake.llm.common import ensure_checkpoint_dir, fresh, table
+from plantlake.llm.common import ensure_checkpoint_dir, fresh, part_count, table
 from plantlake.llm.queries import vocabulary_path
 
 
@@ -17,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     name = fresh(docs, "__score")
     scored = toxicity.score(docs, model, out=name)
-    return scored.where(F.col(name) < toxicity.THRESHOLD).drop(name)
+    return scored.where(F.col(name) < toxicity.THRESHOLD).drop(name).coalesce(part_count(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,18 +30,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark")).coalesce(part_count(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts masked."""
-    return secret_scan.redact(docs)
+    return secret_scan.redact(docs).coalesce(part_count(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as token ids, with the text that they decode to."""
     coded = bpe.encode_decode(docs, bpe.load(vocabulary_path("word_bpe_49k.json")))
-    return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "decoded")
+    coded = coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "decoded")
+    return coded.coalesce(part_count(docs))
 
 
 STAGES = [

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint
 
+EDGES_A_PART = 1 << 18  # few edges are written to few files, one for each core at least
+
 
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -32,18 +34,19 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     the logarithm of the longest path.  Each round is checkpointed.  Self-loops and repeated edges do no harm; an
     empty edge table gives an empty result.  Null ends are dropped.
     """
+    parts = max(edges.sparkSession.sparkContext.defaultParallelism, -(-edges.count() // EDGES_A_PART))
     edges = (
         edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
         .select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v"))
         .where("u <> v")
         .distinct()
     )
-    edges = checkpoint(edges)
+    edges = checkpoint(edges, parts)
     before = _state(edges)
     for _ in range(max_rounds):
         if not before[0]:
             break
-        edges = checkpoint(_star(_star(edges, True), False))
+        edges = checkpoint(_star(_star(edges, True), False), parts)
         after = _state(edges)
         if after == before:
             break

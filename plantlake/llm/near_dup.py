@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, packed, per_batch
+from .common import checkpoint, packed, part_count, per_batch
 from .graph import connected_components
 from .wordhash import shingle_sets, words
 
@@ -213,25 +213,26 @@ def _cross_pairs(threshold: float):
     return run
 
 
-def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, num: int, den: int, parts: int) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): ``rows`` has id, ``__n`` and ``__cls`` for each input row; ``classes`` maps ``__cls`` to its ``least``
     id and its ``component``.
 
     Two rows are linked if den * |A and B| >= num * |A or B| over their n-word shingle sets.  ``component`` is the
     least id that can be reached.  Rows without words have a null class; rows with a null id link nothing, but rows
     that repeat a text or an id share one class or appear in several without harm.  An empty table gives empty results.
+    What is written on the way has ``parts`` files at most.
     """
     threshold = num / den
     base = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text).alias("__t"))
     signed = with_classes(base, "__t", n, signatures=True)
-    rows = checkpoint(signed)
+    rows = checkpoint(signed, parts)
     classes = (
         rows.where("__cls is not null and __id is not null")
         .groupBy("__cls")
         .agg(F.min("__id").alias("least"), F.first("__n").alias("n"), F.first("__sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    classes = checkpoint(classes.withColumnRenamed("__cls", "cls"))  # node numbers are fixed from here on
+    classes = checkpoint(classes.withColumnRenamed("__cls", "cls"), parts)  # node numbers are fixed from here on
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.col("sig").substr(b * (2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket")))
     in_bucket = Window.partitionBy("bucket")
     members = checkpoint(
@@ -239,7 +240,8 @@ def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, n
         .select("node", "b.band", "b.bucket")
         .withColumn("hub", F.min("node").over(in_bucket))
         .withColumn("size", F.count("*").over(in_bucket))
-        .where("size > 1")
+        .where("size > 1"),
+        parts,
     )
     facts = classes.select("node", "n", "sig")
     star = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -254,7 +256,8 @@ def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, n
         base.where("__id is not null")
         .join(shared, "__id")
         .select("node", "cls", F.col("__t").cast("string").alias("text"))
-        .mapInArrow(_texts(n), "node bigint, text string, sketch binary")
+        .mapInArrow(_texts(n), "node bigint, text string, sketch binary"),
+        parts,
     )
     pick = texts.select("node", "text").dropDuplicates(["node"])
 
@@ -264,8 +267,8 @@ def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, n
         )
         return both.mapInArrow(_confirm(n, num, den), "a bigint, b bigint")
 
-    links = checkpoint(confirmed(star))
-    roots = checkpoint(connected_components(links, "a", "b"))
+    links = checkpoint(confirmed(star), parts)
+    roots = checkpoint(connected_components(links, "a", "b"), parts)
     # buckets whose members, the hub aside, are in several components
     open_members = (
         members.where("size > 2 and node <> hub")
@@ -296,10 +299,10 @@ def near_duplicate_components(docs: DataFrame, id_col: str, text: str, n: int, n
         .mapInArrow(_cross_pairs(threshold), "a bigint, b bigint")
         .distinct()
     )
-    more = checkpoint(confirmed(again))
+    more = checkpoint(confirmed(again), parts)
     if not more.isEmpty():
         merged = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-        roots = checkpoint(connected_components(merged, "a", "b"))
+        roots = checkpoint(connected_components(merged, "a", "b"), parts)
     labelled = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component"))
     return rows.drop("__sig"), labelled.join(least, "root").select(F.col("cls").alias("__cls"), "least", "component")
@@ -311,10 +314,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     A row without words (or a null text) has the empty set and is its own component.  A row with a null id has a null
     component and is kept: nothing can point at it.
     """
-    rows, classes = near_duplicate_components(docs, id_col, text, n, num, den)
+    parts = part_count(docs, text)
+    rows, classes = near_duplicate_components(docs, id_col, text, n, num, den, parts)
     component = F.coalesce("component", "__id")
     out = rows.join(classes, "__cls", "left").withColumn("component", F.when(F.col("__id").isNotNull(), component))
-    return out.select(
+    return out.coalesce(parts).select(
         F.col("__id").alias(id_col),
         F.col("__n").alias("n_shingles"),
         F.col("component").alias("component_id"),
@@ -328,7 +332,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     Rows that repeat that id are settled by their content, so exactly one stays.  Rows without words or with a null
     id are linked with nothing and all stay.
     """
-    _, classes = near_duplicate_components(docs, id_col, text, n, num, den)
+    parts = part_count(docs, text)
+    _, classes = near_duplicate_components(docs, id_col, text, n, num, den, parts)
     names = docs.columns
     content = F.xxhash64("__rest")
     first = Window.partitionBy("component").orderBy("__cls")
@@ -341,4 +346,5 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     joined = every.join(chosen.hint("merge"), ["__key", "__id"], "left")
     alone = F.col("__cls").isNull() | F.col("__id").isNull()
     order = Window.partitionBy("__key", "__id").orderBy(content)
-    return joined.where(alone | F.col("__hit")).withColumn("__at", F.row_number().over(order)).where(alone | (F.col("__at") == 1)).select(*[F.col(f"__rest.`{c}`").alias(c) for c in names])
+    kept = joined.where(alone | F.col("__hit")).withColumn("__at", F.row_number().over(order)).where(alone | (F.col("__at") == 1))
+    return kept.coalesce(parts).select(*[F.col(f"__rest.`{c}`").alias(c) for c in names])

@@ -28,7 +28,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PerWorker, checkpoint, fresh, packed, per_batch
+from .common import PerWorker, checkpoint, fresh, packed, part_count, per_batch
 from .wordhash import mix
 
 ORDER = 5
@@ -114,7 +114,7 @@ def gram_counts(counted: DataFrame) -> DataFrame:
     return counted.groupBy("gram").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
-def train(top: DataFrame) -> DataFrame:
+def train(top: DataFrame, parts: int | None = None) -> DataFrame:
     """(gram, n0, n1) -> key, value: the ratios that scoring needs, of n-grams and (one character shorter) contexts.
 
     A key is the 64 bits of ``gram_keys``, which tell the two lengths apart."""
@@ -144,10 +144,10 @@ def train(top: DataFrame) -> DataFrame:
         weight = F.when(F.col(f"all{c}") > 0, DISCOUNT * F.col(f"kinds{c}") / F.col(f"all{c}")).otherwise(1.0)
         own_part = F.when(seen, (F.col(f"n{c}") - DISCOUNT) / F.col(f"all{c}")).otherwise(0.0)
         level = level.withColumn(f"w{c}", weight).withColumn(f"p{c}", own_part + weight * F.col("p"))
-    level = checkpoint(level.select("gram", "context", F.log(F.col("p1") / F.col("p0")).cast("float").alias("r"), F.log(F.col("w1") / F.col("w0")).cast("float").alias("b")))
+    level = checkpoint(level.select("gram", "context", F.log(F.col("p1") / F.col("p0")).cast("float").alias("r"), F.log(F.col("w1") / F.col("w0")).cast("float").alias("b")), parts)
     contexts = level.groupBy("context").agg(F.first("b").alias("value"))
     named = level.select("gram", F.col("r").alias("value")).unionByName(contexts.select(F.col("context").alias("gram"), "value"))
-    return checkpoint(named.mapInArrow(per_batch(_keyed), "key bigint, value float"))
+    return checkpoint(named.mapInArrow(per_batch(_keyed), "key bigint, value float"), parts)
 
 
 def _keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -281,14 +281,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         .agg(F.max(F.col(label).cast("int")).alias("toxic"))
     )
     fold = F.pmod(F.xxhash64("__id"), F.lit(4)) == 0
-    sample = checkpoint(usable.where(fold).orderBy(F.xxhash64("__id", F.lit(7)), "__id").limit(CALIBRATION_ROWS))
+    parts = part_count(docs, text)
+    sample = checkpoint(usable.where(fold).orderBy(F.xxhash64("__id", F.lit(7)), "__id").limit(CALIBRATION_ROWS), parts)
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     apart = F.broadcast(sample.select("__id", F.lit(True).alias("apart")))
     labelled = texts.where(~held_out(F.col("__id"))).join(usable.hint("merge"), "__id").join(apart, "__id", "left")
-    top = checkpoint(gram_counts(word_counts(labelled.withColumn("apart", F.coalesce("apart", F.lit(False))))))
-    ratios = tables(train(top.select("gram", "n0", "n1")))
+    top = checkpoint(gram_counts(word_counts(labelled.withColumn("apart", F.coalesce("apart", F.lit(False))))), parts)
+    ratios = tables(train(top.select("gram", "n0", "n1"), parts))
     rest = top.select("gram", (F.col("n0") - F.col("s0")).alias("n0"), (F.col("n1") - F.col("s1")).alias("n1")).where("n0 + n1 > 0")
-    scored = _features(texts.join(F.broadcast(sample), "__id").select("toxic", "text"), tables(train(rest))).toArrow()
+    scored = _features(texts.join(F.broadcast(sample), "__id").select("toxic", "text"), tables(train(rest, parts))).toArrow()
     x = np.array([scored[f"f{i}"].to_numpy() for i in range(FEATURES)]).T.reshape(-1, FEATURES)
     y = scored["toxic"].to_numpy().astype(float)
     if not len(y):
